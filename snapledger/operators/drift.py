@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from ..session import ship
 
 INDEL = 0.25  #: cost of adding or deleting a node; a rename must cost less than both together
 MOVE = 0.2
@@ -227,6 +228,7 @@ def schema_changes(loads: DataFrame) -> DataFrame:
     The window carries one row per delivery.  Types that are missing change nothing; the first delivery
     gives no change; shares of very small loads (under 30 rows) have no say in what is a rename.
     """
+    ship(loads.sparkSession)
     w = Window.partitionBy("feed", "table_name").orderBy("load_no")
     pairs = loads.withColumn("old", F.lag("fields").over(w)).filter(F.col("old").isNotNull() & (F.col("old") != F.col("fields")))
     old_names, new_names = F.transform("old", lambda f: f["name"]), F.transform("fields", lambda f: f["name"])

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +32,20 @@ def get_session(app: str = "snapledger", cores: int | str = "*", shuffle_partiti
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per context.
+
+    Operators with Python code call it, so that a cluster needs no copy installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_snapledger_shipped", False):
+        return
+    home = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="snapledger-"), "snapledger.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, Path(home.name, p.relative_to(home)))
+    context.addPyFile(str(target))
+    context._snapledger_shipped = True
