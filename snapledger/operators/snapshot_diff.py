@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import scratch_path
+from ..sources.tables import remove_tree, scratch_path
 from .satellites import hash_diff
 
 
@@ -124,9 +124,7 @@ class SnapshotIndex:
         if name not in self.tables.values():
             location = self.spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
             self.spark.sql(f"DROP TABLE {name}")
-            jvm = self.spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(location)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            remove_tree(self.spark, location)
 
 
 def snapshot_rows(df: DataFrame, *, key: Column, snapshot: Column, seen_at: Column, values: dict[str, Column]) -> DataFrame:

@@ -35,3 +35,36 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     path = scratch_path(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _place(spark, path)
+    return fs.exists(p)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file on any file system Spark can write; it appears whole or not at all."""
+    fs, tmp = _place(spark, f"{path}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    _, final = _place(spark, path)
+    fs.delete(final, False)
+    fs.rename(tmp, final)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    if not path_exists(spark, path):
+        return None
+    return "".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    fs, p = _place(spark, path)
+    fs.delete(p, True)
