@@ -43,7 +43,8 @@ def profile_of(value: str, weight: float) -> Profile:
 
 
 def _top(column: Mapping[str, float]) -> str:
-    return min(column, key=lambda t: (-column[t], t))
+    """The heaviest token; of equals a token before the gap, so the fuller writing, then the lower one."""
+    return min(column, key=lambda t: (-column[t], t == GAP, t))
 
 
 def _alike(a: Mapping[str, float], b: Mapping[str, float]) -> float:
