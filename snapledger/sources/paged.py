@@ -147,24 +147,24 @@ def _load(name: str) -> Transport:
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]):
-        self.options = dict(options)
+        self.options = {k.lower(): v for k, v in options.items()}  # Spark hands option names over in any case
 
     def partitions(self) -> Sequence[InputPartition]:
         mode = self.options.get("mode", "nextlink")
         if mode == "nextlink":
             plan = json.loads(self.options.get("partitions", "[{}]"))
             return [_Part(label_of(p), p) for p in plan]
-        pages, size = int(self.options["pages"]), int(self.options.get("pagesPerPartition", "50"))
-        wanted = json.loads(self.options["onlyPages"]) if "onlyPages" in self.options else None
+        pages, size = int(self.options["pages"]), int(self.options.get("pagesperpartition", "50"))
+        wanted = json.loads(self.options["onlypages"]) if "onlypages" in self.options else None
         if wanted is not None:
             return [_Part("pages", {}, p, p + 1) for p in wanted]
-        return [_Part("pages", {}, a, min(pages, a + size)) for a in range(int(self.options.get("firstPage", "0")), pages, size)]
+        return [_Part("pages", {}, a, min(pages, a + size)) for a in range(int(self.options.get("firstpage", "0")), pages, size)]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
         transport = _load(self.options["transport"])
-        policy = RetryPolicy(int(self.options.get("tries", "5")), float(self.options.get("maxWait", "60")))
+        policy = RetryPolicy(int(self.options.get("tries", "5")), float(self.options.get("maxwait", "60")))
         shares = max(1, int(self.options.get("parallel", "1")))
-        limiter = RateLimiter(float(self.options.get("maxRps", "0")) / shares)
+        limiter = RateLimiter(float(self.options.get("maxrps", "0")) / shares)
         url = self.options["url"]
         if self.options.get("mode", "nextlink") == "nextlink":
             link, params, page = url, partition.params, 0
@@ -176,7 +176,7 @@ class PagedReader(DataSourceReader):
         for page in range(partition.first, partition.last or 0):
             row, _ = self._page(transport, policy, limiter, partition.label, page, url, {"page": page}, "content", "")
             yield row
-            if row[9] is not None and self.options.get("stopOnError", "false") == "true":
+            if row[9] is not None and self.options.get("stoponerror", "false") == "true":
                 return
 
     @staticmethod
