@@ -7,7 +7,7 @@ import pytest
 from tests.conftest import SMALL
 from tests.oracle import connect, plain
 
-from snapledger.plans import general, registry
+from snapledger.plans import general, marts, registry  # noqa: F401
 
 QUERIES = general.QUERIES | registry.QUERIES
 ORACLES = general.ORACLES | registry.ORACLES

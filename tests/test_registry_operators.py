@@ -365,3 +365,18 @@ def test_stream_is_the_batch_merge_and_is_idempotent(spark):
     assert rows(state.run(source, a.schema)) == want
     state.apply(b, state.version())  # delivered again
     assert rows(state.current()) == want
+
+
+def test_columns_by_synonym(spark, tmp_path):
+    from snapledger.operators import columns
+
+    df = spark.createDataFrame([("1", "n", None, "x")], "Uuid string, deviceName string, new string, old string")
+    out = columns.canonical(df, {"uuid": [], "name": ["device_name", "DEVICENAME"], "n": []}, {"uuid": "bigint", "n": "bigint"})
+    assert rows(out) == [(1, "n", None)] and out.columns == ["uuid", "name", "n"]
+    assert columns.first_existing(df, ["zzz", "NEW"]) == "new"
+    assert rows(columns.coalesce_legacy(df, {"new": "old", "title": "deviceName"})) == [("1", "x", "n")]
+    df.write.parquet(f"{tmp_path}/b.parquet")
+    assert columns.read_first(spark, str(tmp_path), ["a", "b"], ["new", "none"]).columns == ["new"]
+    assert columns.read_first(spark, str(tmp_path), ["a"]) is None
+    assert columns.copy_tables(spark, str(tmp_path), f"{tmp_path}/out", ["b", "c"]) == {"b": "copied", "c": "missing"}
+    assert df.select(columns.json_digest(df, ["old", "Uuid"])).first()[0] == df.select(columns.json_digest(df, ["Uuid", "old"])).first()[0]
