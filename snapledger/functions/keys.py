@@ -11,14 +11,12 @@ from .text import _col, clean
 
 
 def uuid_key(c: Column | str) -> Column:
-    """One writing of a uuid: lower case, hyphens at 8-4-4-4-12.
+    """One writing of a uuid: lower case, hyphens at 8-4-4-4-12 whether or not they were written.
 
-    A text that is not 32 hex digits keeps its lower-case writing; missing is NULL.
+    A text that is no uuid keeps its lower-case writing; missing is NULL.
     """
-    text = F.lower(clean(c))
-    digits = F.replace(text, F.lit("-"), F.lit(""))
-    parts = [F.substring(digits, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.when(digits.rlike("^[0-9a-f]{32}$"), F.concat_ws("-", *parts)).otherwise(text)
+    groups = "-?".join(f"([0-9a-f]{{{n}}})" for n in (8, 4, 4, 4, 12))
+    return F.regexp_replace(F.lower(clean(c)), f"^{groups}$", "$1-$2-$3-$4-$5")
 
 
 def code_key(c: Column | str) -> Column:

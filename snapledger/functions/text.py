@@ -23,9 +23,12 @@ def trimmed(c: Column | str) -> Column:
 
 
 def clean(c: Column | str) -> Column:
-    """Trimmed text; NULL for NULL, blank and the texts of a null."""
-    text = trimmed(c)
-    return F.when((text != "") & ~F.lower(text).isin(*NULL_TOKENS), text)
+    """Trimmed text; NULL for NULL, blank and the texts of a null.
+
+    Written so that the input occurs twice in the expression and no more: these builders nest, and
+    copies of an input multiply in plans and in generated code.
+    """
+    return F.nullif(F.regexp_replace(trimmed(c), f"(?i)^(?:{'|'.join(NULL_TOKENS)})$", ""), F.lit(""))
 
 
 def is_missing(c: Column | str) -> Column:
@@ -43,8 +46,7 @@ def number_text(c: Column | str) -> Column:
 
     ``-203``, ``-203.0`` and `` -203 `` give the same text.  Missing gives NULL.
     """
-    text = clean(c)
-    return F.coalesce(text.try_cast("decimal(38,10)").cast("string"), text)
+    return F.coalesce(trimmed(c).try_cast("decimal(38,10)").cast("string"), clean(c))
 
 
 def token_count(c: Column | str, sep: str = "|") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean
+from .text import clean, trimmed
 
 # The ULID alphabet and the digits of base 32.
 CROCKFORD = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
@@ -17,10 +17,8 @@ def day_of(c: Column | str) -> Column:
 
     Reads ``2025-02-03``, ``20250203``, ``2025-02-03 00:00:00 UTC`` and ``2025-02-03T00:00:00Z``.
     """
-    text = clean(c)
-    iso = F.when(text.rlike(r"^\d{8}$"), F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2)))
-    iso = iso.when(text.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), text.substr(1, 10))
-    return iso.try_cast("date").cast("string")
+    iso = F.regexp_replace(trimmed(c), r"^(\d{4})-(\d{2})-(\d{2})[T ].*$|^(\d{4})(\d{2})(\d{2})$", "$1$4-$2$5-$3$6")
+    return F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}$"), iso).try_cast("date").cast("string")
 
 
 def ulid_millis(c: Column | str) -> Column:
