@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,13 +22,27 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="snapledger-")
+        local = tempfile.mkdtemp(prefix="snapledger-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        found = f"file://{local}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/snapledger-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/snapledger/{what}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder, once its results have been consumed.
+
+    Results are lazy and may read those files, so nothing here is removed by itself.
+    """
+    remove_tree(spark, scratch_root(spark))
 
 
 def materialise(df: DataFrame, what: str) -> DataFrame:

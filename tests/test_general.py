@@ -333,3 +333,16 @@ def test_unify_reads_all_files_into_one_table(spark):
     assert out.columns == ["id", "cityname_v2", "extra"]
     assert rows(out) == [(1, "x", None), (2, "y", None), (3, "z", 1.5)]
     assert [(i, e.kind) for i, e in report] == [(1, "removed"), (1, "renamed"), (2, "added"), (2, "renamed"), (2, "retyped")]
+
+
+def test_scratch_is_removed_on_request(spark):
+    from snapledger.sources.tables import clean_scratch, get_text, materialise, path_exists, put_text, scratch_path, scratch_root
+
+    kept = materialise(spark.range(3), "x")
+    assert kept.count() == 3
+    p = scratch_path(spark, "t.json")
+    put_text(spark, p, "a\nb")
+    put_text(spark, p, "c")
+    assert get_text(spark, p) == "c"
+    clean_scratch(spark)
+    assert not path_exists(spark, scratch_root(spark)) and get_text(spark, p) is None
