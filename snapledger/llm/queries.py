@@ -103,7 +103,8 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 @query("p8_roundtrip", "SELECT doc_id, true exact FROM documents")
 def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Whether decoding a document's ids gives its text again."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    # keys must be distinct to decode: of rows with one id the lowest text stands, as there are none in these tables
+    docs = table(spark, d, "documents").groupBy("doc_id").agg(F.min("text").alias("text"))
     back = tokens.decode_corpus(tokens.encode_corpus(docs, "doc_id", "text"), "doc_id").withColumnRenamed("text", "decoded")
     return docs.join(back, "doc_id").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("exact"))
 
@@ -137,7 +138,9 @@ def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     targets = _targets(spark, d)
     wanted = targets.collect()  # one row per source
     docs = table(spark, d, "documents").select("doc_id", "text", source_name("source").alias("source"), language("lang").alias("lang"))
-    sized = docs.select("doc_id", "source", "lang").join(tokens.token_counts(docs, "doc_id", "text"), "doc_id")
+    # one size per document, so that repeated ids do not multiply in the join
+    sizes = tokens.token_counts(docs, "doc_id", "text").groupBy("doc_id").agg(F.max("n_tokens").alias("n_tokens"))
+    sized = docs.select("doc_id", "source", "lang").join(sizes, "doc_id")
     chosen = mixing.choose(
         sized, "doc_id", "n_tokens", ["source", "lang"], {(r["source"],): r["target_share"] for r in wanted}, {r["source"]: r["max_repeats"] for r in wanted}, seed=20
     )
