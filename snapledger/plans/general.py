@@ -251,12 +251,23 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return views[0].unionByName(views[1]).select("table_name", "entity_key", "version_key", "valid_from", "valid_to")
 
 
-@query("p3_change_rates")
+_RATED = ["version_number", "latest_version", "status", "attempt_count", "last_status_code", "queue_source"]
+_RATE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ("queued_at_utc", "candidate_uuid", *_RATED))
+_P3R = (
+    f"WITH q AS (SELECT coalesce(upper({nn('primary_di_code')}), {uu('candidate_uuid')}) k, queued_at_utc, candidate_uuid, {', '.join(_RATED)} FROM udi_details_queue), "
+    f"l AS (SELECT *, row_number() OVER w n, {', '.join(f'lag({c}) OVER w p_{c}' for c in _RATED)} FROM q WHERE k IS NOT NULL WINDOW w AS (PARTITION BY k ORDER BY {_RATE_ORDER})) "
+) + " UNION ALL ".join(
+    f"SELECT '{c}' attribute, (count(*) FILTER ({c} IS DISTINCT FROM p_{c}))::BIGINT changes, count(*)::BIGINT steps, "
+    f"round((count(*) FILTER ({c} IS DISTINCT FROM p_{c}))::DOUBLE / count(*)::DOUBLE, 4) rate FROM l WHERE n > 1"
+    for c in _RATED
+)
+
+
+@query("p3_change_rates", _P3R)
 def p3_change_rates(spark: SparkSession, d: str) -> DataFrame:
     """How often each attribute of the queue changes between a device's rows: what goes into which satellite."""
     queue = table(spark, d, "udi_details_queue").withColumn("entity_key", F.coalesce(code_key("primary_di_code"), uuid_key("candidate_uuid")))
-    attributes = ["version_number", "latest_version", "status", "attempt_count", "last_status_code", "queue_source"]
-    return satellites.change_rates(queue.filter("entity_key IS NOT NULL"), "entity_key", ["queued_at_utc", "candidate_uuid", *attributes], attributes)
+    return satellites.change_rates(queue.filter("entity_key IS NOT NULL"), "entity_key", ["queued_at_utc", "candidate_uuid", *_RATED], _RATED)
 
 
 # --------------------------------------------------------------------------- p4
