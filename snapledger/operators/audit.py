@@ -63,6 +63,7 @@ def trace_rollup(trace: DataFrame, by: Sequence[str], rows: str, at: str, error:
 
 def status_class(status: Column, body: Column | None = None, error: Column | None = None) -> Column:
     """Class of an HTTP answer; an error text wins, then success, then a blocking page."""
+    # The names of the classes.
     text = F.lower(F.coalesce(body, F.lit(""))) if body is not None else F.lit("")
     out = F.when(clean(error).isNotNull(), "ERROR") if error is not None else F.when(F.lit(False), "ERROR")
     return (
@@ -82,6 +83,7 @@ def endpoint_summary(results: DataFrame, cls: str = "classification") -> DataFra
         F.count_if(F.col(cls) == "BLOCKED_WEB_FILTER").alias("blocked_web_filter_count"), F.count_if(F.col(cls) == "RATE_LIMITED_429").alias("rate_limited_429_count"),
         F.count_if(F.col(cls) == "SERVER_ERROR").alias("server_error_count"), F.count_if(F.col(cls) == "ERROR").alias("request_error_count"),
     )
+    # The names of the verdicts.
     n, ok, blocked = F.col("tested_endpoints"), F.col("ok_count"), F.col("blocked_web_filter_count")
     verdict = (
         F.when(blocked == n, "ENTIRE_PLATFORM_API_BLOCKED_FROM_RUNNER").when((blocked > 0) & (ok > 0), "PARTIAL_ENDPOINT_BLOCKING_FROM_RUNNER")

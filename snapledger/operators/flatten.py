@@ -120,7 +120,7 @@ DEVICE_LIST_KINDS = dict.fromkeys(("latestVersion", "sterile", "multiComponent")
     ("versionNumber", "basicUdiDataVersionNumber", "containerPackageCount"), "bigint"
 )
 ACTOR_LIST = (
-    "uuid ulid@ registrationUlid@ srn eudamedIdentifier>registry_identifier name names& actorType.code actorType.srnCode actorType.category "
+    "uuid ulid@ registrationUlid@ srn registryIdentifier name names& actorType.code actorType.srnCode actorType.category "
     "actorStatus.code actorStatusFromDate roleName countryIso2Code countryName countryType dateOfRegistration electronicMail telephone "
     "geographicalAddress buildingNumber streetName postbox addressComplement postalZone cityName abbreviatedName abbreviatedNames& latestVersion "
     "versionNumber associatedToUser legislationLinks& selectable actorValidated nbStatus"
@@ -131,7 +131,7 @@ ACTOR_LIST_KINDS = dict.fromkeys(("latestVersion", "associatedToUser", "selectab
 ADDRESS = "streetName streetInfoApplicable buildingNumber complement postbox gps postalZone cityName"
 ACTOR_DETAIL_GROUPS = {
     ("actorDataPublicView", ""): (
-        "uuid ulid@ eudamedIdentifier>srn name$ name&>names_json abbreviatedName$ type.code>actor_type_code type.srnCode>actor_type_srn_code "
+        "uuid ulid@ registryIdentifier>srn registryIdentifier>registry_identifier name$ name&>names_json abbreviatedName$ type.code>actor_type_code type.srnCode>actor_type_srn_code "
         "type.category>actor_type_category actorStatus.code actorStatusFromDate country.iso2Code country.name country.type "
         "country.nonEUMemberState>country_non_eu_member_state europeanVatNumberApplicable europeanVatNumber tradeRegister eori telephone electronicMail "
         "website latestVersion versionNumber versionState.code lastUpdateDate lastAccuracyDate competentAuthorityResponsibility latestSubsidiary "
@@ -170,6 +170,25 @@ DEVICE_DETAIL_GROUPS = {
 }
 
 
+def with_path(layout: Sequence[str], names: dict[str, str]) -> list[str]:
+    """The layout reading other JSON keys: ``names`` maps a path's last key to the one a source writes.
+
+    Columns keep their names, so that a registry's own name for its identifier, say, is a parameter.
+    """
+    out = []
+    for entry in layout:
+        path, _, name = entry.partition(">")
+        mark = path[-1] if path[-1] in "#@$&" else ""
+        bare = path.rstrip("#@$&")
+        head, dot, last = bare.rpartition(".")
+        if last in names:
+            name = name or snake(bare.replace(".", "_")) + ("_json" if mark == "&" else "_code" if mark == "#" else "")
+            out.append(f"{head}{dot}{names[last]}{mark}>{name}")
+        else:
+            out.append(entry)
+    return out
+
+
 def grouped_layout(groups: dict[tuple[str, str], str]) -> list[str]:
     """Layout entries of groups: each entry's path lies under the group's, its column name after the group's prefix."""
     out = []

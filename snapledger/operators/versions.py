@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 
+# The names of the modes.
 MODES = ("full", "full_current", "full_historical", "incremental", "incremental_current", "incremental_historical")
 
 

@@ -235,6 +235,8 @@ def test_declared_layouts(spark):
     assert (r[0]["risk_class_code"], r[0]["device_status_code"], r[0]["version_number"], r[0]["latest_version"], r[0]["sterile"]) == ("v", "plain", 3, True, None)
     assert r[0]["ulid_timestamp"] == "2024-01-01T00:00:00.000Z" and r[1]["uuid"] is None and r[2]["uuid"] is None
     assert len(flatten.flatten_declared(df, "body", flatten.ACTOR_LIST).columns) == 38
+    own = flatten.with_path(flatten.ACTOR_LIST, {"registryIdentifier": "uuid"})
+    assert flatten.flatten_declared(df, "body", own).first()["registry_identifier"] == "u"
 
 
 def test_detail_layouts(spark):
