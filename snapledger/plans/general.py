@@ -173,12 +173,11 @@ def p2_profile(spark: SparkSession, d: str) -> DataFrame:
 
 @query("p2_load_shift")
 def p2_load_shift(spark: SparkSession, d: str) -> DataFrame:
-    """Classifier two-sample test between the first and the last snapshot of the change log, row by row."""
-    events = table(spark, d, "udi_change_events").withColumn("__day", F.coalesce(day_of("CURRENT_EXTRACT_DATE"), day_of("CURRENT_EXTRACT_DATETIME_UTC")))
-    first, last = events.agg(F.min("__day"), F.max("__day")).first()
-    columns = ["MF_SRN", "AR_SRN", "RISK_CLASS_ID", "APPLICABLE_LEGISLATION_ID", "STATUS_ID", "DEVICE_STATUS_TYPE_ID"]
-    canonical = events.select("__day", *[number_text(c).alias(c) for c in columns])
-    return profile.load_shift(canonical.filter(F.col("__day") == first), canonical.filter(F.col("__day") == last), columns, buckets=32)
+    """Classifier two-sample test between each snapshot of the change log and the one before, row by row."""
+    day = F.coalesce(day_of("CURRENT_EXTRACT_DATE"), day_of("CURRENT_EXTRACT_DATETIME_UTC"))
+    values = [(number_text(c) if f is number_text else clean(c)).alias(c) for c, f in _EVENT_VALUES.items()]
+    rows = table(spark, d, "udi_change_events").select(day.alias("__day"), *values)
+    return profile.load_shifts(rows, "__day", list(_EVENT_VALUES), buckets=32)
 
 
 # --------------------------------------------------------------------------- p3

@@ -126,6 +126,28 @@ def test_classifier_names_the_column_that_moved(spark):
     assert profile.load_shift(spark.createDataFrame([], schema), spark.createDataFrame(new, schema), ["p"]).count() == 0
 
 
+def test_load_shift_query_sees_breaks_of_middle_snapshots(spark, tmp_path):
+    from snapledger.plans import general
+
+    rnd = random.Random(2)
+    fields = list(general._EVENT_VALUES)
+    data = []
+    for day in ("2025-01-01", "2025-02-01", "2025-03-01"):
+        for i in range(500):
+            # in the middle snapshot only, names lose most of their values
+            name = rnd.choice("abcdef") if day != "2025-02-01" or i % 5 == 0 else None
+            data.append((day, None, *[name if c == "DEVICE_NAME" else str(rnd.randint(1, 4)) for c in fields]))
+    data += [(None, None, *["x"] * len(fields))] * 3  # of no snapshot
+    schema = ", ".join(f"{c} string" for c in ("CURRENT_EXTRACT_DATE", "CURRENT_EXTRACT_DATETIME_UTC", *fields))
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "udi_change_events.parquet"))
+    got = general.p2_load_shift(spark, str(tmp_path)).collect()
+    assert {(r["load"], r["prev_load"]) for r in got} == {("2025-02-01", "2025-01-01"), ("2025-03-01", "2025-02-01")}
+    assert len(got) == 2 * len(fields) and {r["column_name"] for r in got} == set(fields)
+    for r in got:
+        assert r["auc"] > 0.8
+        assert r["ablation"] > 0.2 if r["column_name"] == "DEVICE_NAME" else abs(r["ablation"]) < 0.1
+
+
 # --------------------------------------------------------------------------- histories
 
 
