@@ -153,9 +153,9 @@ _PROFILED = {
 _PLAIN = ["CHANGE_TYPE", "DEVICE_NAME", "MF_NAME", "APPLICABLE_LEGISLATION_ID", "DEVICE_STATUS_TYPE_ID"]
 
 
-def _profile_sql() -> str:
+def _profile_sql(columns: list[str]) -> str:
     parts = []
-    for c in [*_PROFILED, *_PLAIN]:
+    for c in columns:
         bad = f"count(*) FILTER (NOT regexp_matches(v, '{_PROFILED[c]}'))::BIGINT" if c in _PROFILED else "NULL::BIGINT"
         parts.append(
             f"SELECT '{c}' column_name, count(*)::BIGINT total_rows, count(v)::BIGINT non_null_rows, count(DISTINCT v)::BIGINT distinct_values, "
@@ -165,12 +165,27 @@ def _profile_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("p2_profile", _profile_sql())
+@query("p2_profile", _profile_sql([*_PROFILED, *_PLAIN]))
 def p2_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Exact column profile of the change log."""
+    """Exact profile of chosen columns of the change log."""
     return profile.base_profile(table(spark, d, "udi_change_events"), [*_PROFILED, *_PLAIN], _PROFILED)
 
 
+_EVENT_COLUMNS = [
+    "EVENT_DATE", "EVENT_DATETIME_UTC", "PREVIOUS_EXTRACT_DATE", "PREVIOUS_EXTRACT_DATETIME_UTC", "CURRENT_EXTRACT_DATE", "CURRENT_EXTRACT_DATETIME_UTC",
+    "CHANGE_TYPE", "CHANGE_SEVERITY", "CHANGED_COLUMNS", "CHANGED_COLUMNS_COUNT", "CHANGE_SUMMARY", "BUSINESS_KEY", "ENTITY_VARIANT_KEY", "ROW_HASH",
+    "OLD_ROW_HASH", "OLD_ENTITY_VARIANT_KEY", "OLD_RISK_CLASS_ID", "NEW_RISK_CLASS_ID", "OLD_LEGISLATION_ID", "NEW_LEGISLATION_ID", "OLD_STATUS_ID",
+    "NEW_STATUS_ID", "OLD_DEVICE_STATUS_TYPE_ID", "NEW_DEVICE_STATUS_TYPE_ID", "UUID", "MF_SRN", "MF_NAME", "AR_SRN", "RISK_CLASS_ID",
+    "APPLICABLE_LEGISLATION_ID", "STATUS_ID", "DEVICE_STATUS_TYPE_ID", "DEVICE_NAME",
+]
+
+
+@query("p2_profile_all", _profile_sql(_EVENT_COLUMNS))
+def p2_profile_all(spark: SparkSession, d: str) -> DataFrame:
+    """Exact profile of every column of the change log."""
+    return profile.base_profile(table(spark, d, "udi_change_events"), None, _PROFILED)
+
+
 @query("p2_load_shift")
 def p2_load_shift(spark: SparkSession, d: str) -> DataFrame:
     """Classifier two-sample test between each snapshot of the change log and the one before, row by row."""

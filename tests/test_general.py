@@ -126,6 +126,15 @@ def test_classifier_names_the_column_that_moved(spark):
     assert profile.load_shift(spark.createDataFrame([], schema), spark.createDataFrame(new, schema), ["p"]).count() == 0
 
 
+def test_every_column_of_the_change_log_is_profiled(spark):
+    from snapledger.plans import general
+    from tests.conftest import SMALL
+
+    got = {r["column_name"]: r["pattern_violations"] for r in general.QUERIES["p2_profile_all"](spark, SMALL).collect()}
+    assert set(got) == set(spark.read.parquet(f"{SMALL}/udi_change_events.parquet").columns) and len(got) == 33
+    assert {c for c, n in got.items() if n is not None} == set(general._PROFILED)
+
+
 def test_load_shift_query_sees_breaks_of_middle_snapshots(spark, tmp_path):
     from snapledger.plans import general
 
