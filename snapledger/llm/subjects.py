@@ -28,7 +28,12 @@ RARITY_FLOOR = 0.75
 #: Grid the calibration chooses from: (strength of the length normalisation, threshold).
 GRID = [(a, round(0.8 + 0.1 * k, 1)) for a in (0.0, 0.1, 0.2, 0.4) for k in range(20)]
 #: Writings that a slip of the pen makes out of a term but that are words themselves.
-NO_SLIPS = frozenset({"patent", "stad", "audi", "curt", "coat", "cloth", "butte", "four", "fin"})
+NO_SLIPS = frozenset({
+    "patent", "stad", "audi", "curt", "coat", "cloth", "butte", "four", "fin",
+    # without the first letter, or with it and the next one swapped
+    "altet", "arbour", "article", "articule", "artikel", "artiklen", "asten", "elvin", "elvins", "enten", "ernten", "erring", "ertrag", "ilden", "mende",
+    "og file", "order", "rainer", "redit", "taffel", "us driver", "utter", "vairon", "worn in",
+})
 
 _MARKS = re.compile(r"[­​-‏⁠﻿]")
 _SPACE = re.compile(r"\s+")
@@ -40,16 +45,15 @@ def folded(text: str) -> str:
 
 
 def slips(term: str, shortest: int = 6) -> set[str]:
-    """Writings one slip away: a letter doubled or left out, two neighbours swapped (first letter kept)."""
+    """Writings one slip away: a letter doubled or left out, two neighbours swapped.  Shorter terms have none."""
     if len(term) < shortest:
         return set()
     out = set()
-    for i in range(1, len(term)):
+    for i in range(len(term)):
         if term[i] != " ":
             out |= {term[:i] + term[i + 1 :], term[:i] + term[i] + term[i:]}
             if i + 1 < len(term) and term[i + 1] != " ":
                 out.add(term[:i] + term[i + 1] + term[i] + term[i + 2 :])
-    out.add(term[0] + term)
     return out - {term} - NO_SLIPS
 
 

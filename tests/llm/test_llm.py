@@ -224,6 +224,11 @@ def test_terms_of_a_text():
     assert subjects.find_terms("Das Bußgeld DIE RICHTERIN BUSSGELD")[1]["law"] == {"bussgeld", "richterin"}
 
 
+def test_slips_of_the_first_letter():
+    assert subjects.find_terms("andaged, the ontract; a lcinic")[1] == {"medicine": {"bandaged", "clinic"}, "law": {"contract"}}
+    assert subjects.find_terms("an order, the article, enten")[1] == {}  # words themselves
+
+
 def test_two_terms_make_a_subject(spark):
     data = [(1, "the soup and the oven"), (1, "the soup and the oven"), (2, "the soup, the soup"), (2, "the soup, the soup"), (3, None), (4, ""), (None, "soup oven"), (5, "soup oven " + "filler " * 5000)]
     df = spark.createDataFrame(data, "doc_id bigint, text string")
