@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clean, uuid_key
+from ..functions import clean, normalise_id, number_text, uuid_key
 from ..sources.tables import table
 from . import consensus, mixing, subjects, tokens
 
@@ -84,11 +84,24 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return wide.filter("n >= 2").select("candidate_uuid", F.coalesce("di", F.lit("")).alias("primary_di_uuid"))
 
 
+def _consensus_fields() -> dict[str, Column]:
+    """All columns of candidate_inventory but the key; writings of one meaning are one value."""
+    flag = F.when(clean("latest_version").isNotNull(), F.lower(clean("latest_version")).isin(*YES).cast("string"))
+    special = {
+        "candidate_uuid": uuid_key("candidate_uuid"), "primary_di_uuid": uuid_key("primary_di_uuid"), "ulid": F.upper(clean("ulid")),
+        "latest_version": flag, "version_number": normalise_id(number_text("version_number")),
+    }
+    plain = [
+        "ulid_datetime_utc", "queue_source", "priority", "status", "attempt_count", "last_status_code", "last_error", "queued_at_utc",
+        "last_attempt_at_utc", "completed_at_utc", "last_detail_extract_datetime_utc",
+    ]
+    return special | {c: clean(c) for c in plain}
+
+
 @query("p5_consensus")
 def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
-    """Field by field the value closest to the consensus of all rows of a device, each row one vote."""
-    fields = {c: clean(c) for c in ("ulid_datetime_utc", "queue_source", "status", "last_error", "queued_at_utc")}
-    return consensus.survivors(table(spark, d, "candidate_inventory"), device_code("primary_di_code"), fields)
+    """Field by field the value closest to the consensus of all rows of a device, each row one vote; every column but the key."""
+    return consensus.survivors(table(spark, d, "candidate_inventory"), device_code("primary_di_code"), _consensus_fields())
 
 
 # --------------------------------------------------------------------------- p8

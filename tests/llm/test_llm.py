@@ -13,6 +13,7 @@ from tests.conftest import SMALL, rows
 from tests.oracle import connect, plain
 
 from pyspark.sql import functions as F
+from snapledger.functions import is_missing
 from snapledger.llm import consensus, mixing, queries, subjects, tokens
 
 C = F.col
@@ -99,6 +100,15 @@ def test_tokens_vote_and_an_existing_value_survives(spark):
     assert survive(spark, [("g", 0, "a b c x"), ("g", 0, "a b y d"), ("g", 0, "a b y d"), ("g", 0, "z b c d")])[0][2] == "a b y d"
 
 
+def test_every_column_gets_a_survivor(spark):
+    from tests.conftest import SMALL
+
+    got = {r[0] for r in queries.p5_consensus(spark, SMALL).select("column_name").distinct().collect()}
+    inventory = spark.read.parquet(f"{SMALL}/candidate_inventory.parquet")
+    filled = {c for c in inventory.columns if inventory.filter(~is_missing(c)).count()}
+    assert got == filled - {"primary_di_code"} and {"latest_version", "version_number", "ulid"} <= got
+
+
 def test_rank_outweighs_votes_field_by_field(spark):
     data = [("g", 3, None, "b3"), ("g", 2, "a2", "b1"), *[("g", 1, "a1", "b1")] * 9, ("g", 0, "a0", None), (None, 9, "x", "x")]
     assert survive(spark, data, ("p", "q"), rank=True) == [("g", "p", "a2"), ("g", "q", "b3")]
