@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from difflib import SequenceMatcher
+from math import isqrt
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,7 @@ from ..session import ship
 from ..sources.tables import materialise
 
 CHUNK = 64  #: distinct values (or profiles) aligned in one task at a time
-CELLS = 1_000_000  #: alignment tables beyond this size are anchored on equal stretches instead
+CELLS = 1_000_000  #: of alignment tables beyond this size some rows are kept and the others computed again; the result is the same
 GAP = ""
 
 Profile = list[dict[str, float]]
@@ -62,24 +63,35 @@ def _pairs(a: Profile, b: Profile) -> list[tuple[int | None, int | None]]:
         tail += 1
     out: list[tuple[int | None, int | None]] = [(i, i) for i in range(lead)]
     x, y = a[lead : len(a) - tail], b[lead : len(b) - tail]
-    middle = _table(x, y) if len(x) * len(y) <= CELLS else _anchored(x, y)
+    middle = _table(x, y)
     out += [(None if i is None else i + lead, None if j is None else j + lead) for i, j in middle]
     return out + [(len(a) - tail + k, len(b) - tail + k) for k in range(tail)]
 
 
 def _table(x: Profile, y: Profile) -> list[tuple[int | None, int | None]]:
     n, m = len(x), len(y)
-    # a substitution may stand (at 0) rather than two gaps (at -0.4 each)
-    best = [[-0.4 * j for j in range(m + 1)]]
-    for i in range(1, n + 1):
-        row = [-0.4 * i]
-        up = best[-1]
+    step = 1 if n * m <= CELLS else isqrt(n)
+
+    def below(up: Sequence[float], i: int) -> array:
+        # a substitution may stand (at 0) rather than two gaps (at -0.4 each)
+        row = array("d", [-0.4 * i])
         for j in range(1, m + 1):
             row.append(max(up[j - 1] + _alike(x[i - 1], y[j - 1]), up[j] - 0.4, row[-1] - 0.4))
-        best.append(row)
+        return row
+
+    best = {0: (row := array("d", [-0.4 * j for j in range(m + 1)]))}
+    for i in range(1, n + 1):
+        row = below(row, i)
+        if i % step == 0 or i == n:
+            best[i] = row
     out: list[tuple[int | None, int | None]] = []
     i, j = n, m
     while i or j:
+        if i and i - 1 not in best:  # the rows from the last kept one to this
+            for k in [k for k in best if k > i]:
+                del best[k]
+            for k in range((i - 1) // step * step + 1, i):
+                best[k] = below(best[k - 1], k)
         if i and j and abs(best[i][j] - best[i - 1][j - 1] - _alike(x[i - 1], y[j - 1])) < 1e-12:
             i, j = i - 1, j - 1
             out.append((i, j))
@@ -92,16 +104,6 @@ def _table(x: Profile, y: Profile) -> list[tuple[int | None, int | None]]:
     return out[::-1]
 
 
-def _anchored(x: Profile, y: Profile) -> list[tuple[int | None, int | None]]:
-    out: list[tuple[int | None, int | None]] = []
-    blocks = SequenceMatcher(None, [_top(c) for c in x], [_top(c) for c in y], autojunk=False).get_opcodes()
-    for _, i1, i2, j1, j2 in blocks:
-        common = min(i2 - i1, j2 - j1)
-        out += [(i1 + k, j1 + k) for k in range(common)]
-        out += [(i, None) for i in range(i1 + common, i2)] + [(None, j) for j in range(j1 + common, j2)]
-    return out
-
-
 def merge(a: Profile, b: Profile, wa: float, wb: float) -> Profile:
     """Two profiles of total weights ``wa`` and ``wb`` as one; a missing token votes for the gap."""
     out: Profile = []

@@ -152,6 +152,16 @@ def test_token_distance_is_levenshtein(a, b):
     assert consensus.token_distance(a, b) == slow(a, b)
 
 
+def test_alignment_is_the_same_at_every_length(monkeypatch):
+    rnd = random.Random(5)
+    for _ in range(30):
+        a, b = ([{rnd.choice("abc"): 1.0, rnd.choice("cde"): 2.0} for _ in range(rnd.randint(1, 30))] for _ in range(2))
+        whole = consensus._pairs(a, b)
+        with monkeypatch.context() as small:
+            small.setattr(consensus, "CELLS", 0)
+            assert consensus._pairs(a, b) == whole
+
+
 def test_long_profiles_are_anchored():
     a = [{str(i): 5.0} for i in range(1500)]
     b = [{t: 1.0 for t in c} for c in [{"x": 1.0}, *a[:700], *a[720:], {"y": 1.0}]]
