@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean, normalise_id, number_text, uuid_key
+from ..plans.general import nn, uu
 from ..sources.tables import table
 from . import consensus, mixing, subjects, tokens
 
@@ -48,31 +49,34 @@ def _preference() -> Column:
     )
 
 
-def _nn(e: str) -> str:
-    return f"CASE WHEN lower(trim({e})) IN ('', 'none', 'nan', 'nat') THEN NULL ELSE trim({e}) END"
-
-
-def _uu(e: str) -> str:
-    h = f"replace(lower({_nn(e)}), '-', '')"
-    return f"substr({h},1,8)||'-'||substr({h},9,4)||'-'||substr({h},13,4)||'-'||substr({h},17,4)||'-'||substr({h},21,12)"
+def _trust() -> Column:
+    """A row's weight in millionths: 1, 2 more if marked latest, and up to 1 that grows with the version number."""
+    latest = F.coalesce(F.lower(clean("latest_version")).isin(*YES).cast("int"), F.lit(0))
+    version = clean("version_number").try_cast("decimal(38,6)").cast("double")
+    recency = F.coalesce((version / (1 + F.abs(version)) + 1) / 2, F.lit(0.0))
+    return F.floor(F.lit(1_000_000) * (1 + 2 * latest + recency))
 
 
 @query(
     "p5_found",
     f"""
-WITH c AS (SELECT upper({_nn(f"regexp_replace({_nn('primary_di_code')}, '^[(][0-9]+[)] *', '')")}) code, {_uu('candidate_uuid')} cand, {_uu('primary_di_uuid')} di,
-                  coalesce(lower({_nn('latest_version')}) IN ('true','t','1','1.0','yes','y'), false)::INT latest,
-                  try_cast({_nn('version_number')} AS DECIMAL(38,6)) v, upper({_nn('ulid')}) u FROM candidate_inventory),
+WITH c AS (SELECT upper({nn(f"regexp_replace({nn('primary_di_code')}, '^[(][0-9]+[)] *', '')")}) code, {uu('candidate_uuid')} cand, {uu('primary_di_uuid')} di,
+                  coalesce(lower({nn('latest_version')}) IN ('true','t','1','1.0','yes','y'), false)::INT latest,
+                  try_cast({nn('version_number')} AS DECIMAL(38,6)) v, upper({nn('ulid')}) u FROM candidate_inventory),
 r AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY latest DESC, v DESC NULLS LAST, u DESC NULLS LAST, cand DESC NULLS LAST) n FROM c WHERE code IS NOT NULL)
 SELECT max(cand) FILTER (n = 1) candidate_uuid, coalesce(arg_min(di, n) FILTER (di IS NOT NULL), '') primary_di_uuid
 FROM r GROUP BY code HAVING count(DISTINCT cand) >= 2""",
 )
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    """The surviving candidate of each device; the preference weighs more than all votes against it."""
+    """The surviving candidate of each device: every distinct uuid votes once, by the trust and recency of its best row.
+
+    A mark as latest weighs 2, a version number up to 1 beside the 1 every value has; equal weights go by the order.
+    """
     inventory = table(spark, d, "candidate_inventory")
     chosen = consensus.survivors(
         inventory, device_code("primary_di_code"),
-        {"candidate_uuid": uuid_key("candidate_uuid"), "primary_di_uuid": uuid_key("primary_di_uuid")}, _preference(),
+        {"candidate_uuid": uuid_key("candidate_uuid"), "primary_di_uuid": uuid_key("primary_di_uuid")},
+        weight=_trust(), rank=_preference(), pool="max",
     )
 
     def of(name: str, col: str) -> Column:
@@ -100,8 +104,17 @@ def _consensus_fields() -> dict[str, Column]:
 
 @query("p5_consensus")
 def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
-    """Field by field the value closest to the consensus of all rows of a device, each row one vote; every column but the key."""
-    return consensus.survivors(table(spark, d, "candidate_inventory"), device_code("primary_di_code"), _consensus_fields())
+    """Field by field the value closest to the consensus of all rows of a device; every column but the key.
+
+    A row's vote is the number of its filled fields, twice if it is marked latest, and up to 8 more that
+    grow with its version number, so a claim of a huge number cannot outvote the rest.
+    """
+    fields = _consensus_fields()
+    filled = sum((c.isNotNull().cast("int") for c in fields.values()), F.lit(0))
+    latest = F.coalesce((fields["latest_version"] == "true").cast("int"), F.lit(0))
+    version = F.greatest(F.coalesce(clean("version_number").try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    weight = F.greatest(filled, F.lit(1)) * (1 + latest) + F.floor(8 * version / (1 + version))
+    return consensus.survivors(table(spark, d, "candidate_inventory"), device_code("primary_di_code"), fields, weight=weight, rank=_preference())
 
 
 # --------------------------------------------------------------------------- p8
