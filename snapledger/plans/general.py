@@ -292,7 +292,7 @@ _EVENT_VALUES = {
 }
 
 
-def _snapshots(spark: SparkSession, d: str) -> snapshot_diff.SnapshotIndex:
+def _snapshots(spark: SparkSession, d: str, values: bool = False) -> snapshot_diff.History:
     events = table(spark, d, "udi_change_events")
     from_key = uuid_key(F.regexp_extract(clean("BUSINESS_KEY"), r"\|(.*)$", 1))
     rows = snapshot_diff.snapshot_rows(
@@ -302,9 +302,7 @@ def _snapshots(spark: SparkSession, d: str) -> snapshot_diff.SnapshotIndex:
         seen_at=clean("CURRENT_EXTRACT_DATETIME_UTC"),
         values={n: f(n) for n, f in _EVENT_VALUES.items()},
     )
-    index = snapshot_diff.SnapshotIndex(spark, list(_EVENT_VALUES))
-    index.build(rows)
-    return index
+    return snapshot_diff.History(rows, list(_EVENT_VALUES) if values else ())
 
 
 _EV = ", ".join(
@@ -314,7 +312,7 @@ _P4 = f"""
 WITH e AS (SELECT coalesce({uu('UUID')}, {uu("regexp_extract(BUSINESS_KEY, '[|](.*)$', 1)")}) k,
                   coalesce({dd('CURRENT_EXTRACT_DATE')}, {dd('CURRENT_EXTRACT_DATETIME_UTC')}) d, {nn('CURRENT_EXTRACT_DATETIME_UTC')} t, {_EV} FROM udi_change_events),
 s AS (SELECT * FROM e WHERE k IS NOT NULL AND d IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY t DESC NULLS LAST, {', '.join(f'{n} DESC NULLS LAST' for n in _EVENT_VALUES)}) = 1),
+      QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY t DESC NULLS LAST, md5(concat_ws('|', {', '.join(f"coalesce(length({n})||':'||{n}, '-')" for n in _EVENT_VALUES)})) DESC) = 1),
 days AS (SELECT d, lag(d) OVER (ORDER BY d) pd, lead(d) OVER (ORDER BY d) nd FROM (SELECT DISTINCT d FROM s))
 """
 
@@ -342,12 +340,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 )
 def p4_changed_values(spark: SparkSession, d: str) -> DataFrame:
     """Old and new value of each changed field, fetched for the changed keys only."""
-    index = _snapshots(spark, d)
-    days = index.days
-    out = spark.createDataFrame([], "extract_date string, key string, field_name string, old_value string, new_value string")
-    for old, new in zip(days, days[1:], strict=False):
-        out = out.unionByName(index.with_values(index.probe(old, new), old, new))
-    return out.withColumnRenamed("key", "uuid")
+    return _snapshots(spark, d, values=True).changed_values().withColumnRenamed("key", "uuid")
 
 
 # --------------------------------------------------------------------------- p6

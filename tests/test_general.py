@@ -10,8 +10,8 @@ from hypothesis import strategies as st
 from tests.conftest import rows
 
 from pyspark.sql import functions as F
-from snapledger.operators import copy_diff, drift, orphans, profile, satellites
-from snapledger.operators.snapshot_diff import SnapshotIndex
+from snapledger.operators import copy_diff, drift, orphans, profile, satellites, snapshot_diff
+from snapledger.operators.snapshot_diff import History, SnapshotIndex, snapshot_rows
 
 C = F.col
 
@@ -227,37 +227,57 @@ def test_split_by_change_rate(spark):
 # --------------------------------------------------------------------------- snapshots
 
 
+SNAPSHOTS = [
+    ("d1", "same", "1", "x", "claim"), ("d1", "gone", "1", "x", ""), ("d1", "chg", "1", "x", ""), ("d1", "chg", "2", "y", ""), ("d1", "back", "1", None, ""),
+    ("d2", "same", "1", "x", "other"), ("d2", "chg", "1", "z", ""), ("d2", "new", "1", "x", ""), ("d2", None, "1", "x", ""), (None, "k", "1", "x", ""),
+    ("d3", "same", "1", "x", ""), ("d3", "chg", "1", "z", ""), ("d3", "new", "1", None, ""), ("d3", "back", "1", None, ""), ("d3", "back", "1", None, ""),
+]
+CHANGED = [("d2", "back", "removed"), ("d2", "chg", "changed"), ("d2", "gone", "removed"), ("d2", "new", "added"), ("d3", "back", "added"), ("d3", "new", "changed")]
+
+
+def snapshots(spark, data):
+    df = spark.createDataFrame(data, "snapshot string, key string, seen_at string, v string, row_hash string")
+    return snapshot_rows(df, key=C("key"), snapshot=C("snapshot"), seen_at=C("seen_at"), values={"v": C("v")})
+
+
+def tables_left(spark):
+    return [t.name for t in spark.catalog.listTables() if t.name.startswith("snapshot_index_")]
+
+
 def test_snapshot_changes(spark):
-    schema = "snapshot string, key string, seen_at string, v string, row_hash string"
-    data = [
-        ("d1", "same", "1", "x", "claim"), ("d1", "gone", "1", "x", ""), ("d1", "chg", "1", "x", ""), ("d1", "chg", "2", "y", ""), ("d1", "back", "1", None, ""),
-        ("d2", "same", "1", "x", "other"), ("d2", "chg", "1", "z", ""), ("d2", "new", "1", "x", ""), ("d2", None, "1", "x", ""), (None, "k", "1", "x", ""),
-        ("d3", "same", "1", "x", ""), ("d3", "chg", "1", "z", ""), ("d3", "new", "1", None, ""), ("d3", "back", "1", None, ""), ("d3", "back", "1", None, ""),
-    ]
-    index = SnapshotIndex(spark, ["v"], buckets=3)
-    assert index.build(spark.createDataFrame(data, schema)) == ["d1", "d2", "d3"]
-    want = [("d2", "back", "removed"), ("d2", "chg", "changed"), ("d2", "gone", "removed"), ("d2", "new", "added"), ("d3", "back", "added"), ("d3", "new", "changed")]
-    assert rows(index.changes()) == want
-    assert rows(index.with_values(index.probe("d1", "d2"), "d1", "d2")) == [("d2", "chg", "v", "y", "z")]
-    step = SnapshotIndex(spark, ["v"], buckets=3)
-    df = spark.createDataFrame(data, schema)
-    got = []
-    for day in ("d1", "d2", "d3"):
-        got += rows(step.advance(day, df.filter(C("snapshot") == day).drop("snapshot")))
-    assert got == want
-    assert step.days == ["d3"]
-    with pytest.raises(ValueError):
-        step.advance("d3", df.drop("snapshot"))
-    plan = index.probe("d1", "d2")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan  # both sides are bucketed on the key
+    history = History(snapshots(spark, SNAPSHOTS), ["v"])
+    assert history.days == ["d1", "d2", "d3"]
+    assert rows(history.changes()) == CHANGED
+    assert rows(history.changed_values()) == [("d2", "chg", "v", "y", "z"), ("d3", "new", "v", "x", None)]
+    assert tables_left(spark) == []
+
+
+def test_the_index_is_swapped_at_every_snapshot(spark):
+    df = snapshots(spark, SNAPSHOTS)
+    with SnapshotIndex(spark) as index:
+        assert index.advance("d1", df.filter("snapshot = 'd1'")) is None
+        got = rows(index.advance("d2", df.filter("snapshot = 'd2'"))) + rows(index.advance("d3", df.filter("snapshot = 'd3'")))
+        assert got == CHANGED
+        assert spark.table(index._name).columns == ["key", "row_hash"] and len(tables_left(spark)) == 1
+        with pytest.raises(ValueError):
+            index.advance("d3", df)
+        plan = index._probe(index._name, index._name, "d4")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 1  # both sides lie in the same buckets
+        assert rows(index.advance("d5", df.limit(0)), "key", "change_kind") == [(k, "removed") for k in ("back", "chg", "new", "same")]
+    assert tables_left(spark) == []
+
+
+def test_buckets_grow_with_the_rows(spark):
+    assert [snapshot_diff.buckets_for(n, 10) for n in (0, 10, 11, 30, 1000)] == [1, 1, 2, 4, 128]
+    df = snapshots(spark, [("d1", f"k{i}", "1", "x", "") for i in range(30)] + [("d2", f"k{i}", "1", "x", "") for i in range(300)])
+    assert History(df).changes().count() == 270
+    assert sum(c.count() for _, _, c in History(df).replay(rows_per_bucket=10)) == 270
 
 
 def test_no_or_one_snapshot_changes_nothing(spark):
-    schema = "snapshot string, key string, seen_at string, v string"
-    for data in ([], [("d1", "a", "1", "x")]):
-        index = SnapshotIndex(spark, ["v"], buckets=2)
-        index.build(spark.createDataFrame(data, schema))
-        assert index.changes().count() == 0
+    for data in ([], SNAPSHOTS[:5]):
+        history = History(snapshots(spark, data), ["v"])
+        assert history.changes().count() == 0 and history.changed_values().count() == 0
 
 
 # --------------------------------------------------------------------------- copies
