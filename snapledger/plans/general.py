@@ -349,7 +349,26 @@ def p4_changed_values(spark: SparkSession, d: str) -> DataFrame:
 @query("p6_found")
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Fields added, removed, renamed or retyped since the feed's last delivery of the table."""
-    return drift.schema_changes(drift.schema_of_loads(table(spark, d, "field_inventory")))
+    return drift.schema_changes(drift.fields_of_loads(table(spark, d, "field_inventory")))
+
+
+_QUEUE_COLUMNS = [
+    "candidate_uuid", "primary_di_code", "primary_di_uuid", "ulid", "ulid_datetime_utc", "latest_version", "version_number", "queue_source", "priority", "status",
+    "attempt_count", "last_status_code", "last_error", "queued_at_utc", "last_attempt_at_utc", "completed_at_utc", "last_detail_extract_datetime_utc",
+]
+_READ_AS = {
+    "latest_version": "CASE WHEN lower(trim(latest_version)) IN ('t','true','y','yes','1') THEN true WHEN lower(trim(latest_version)) IN ('f','false','n','no','0') THEN false END",
+    "version_number": "CASE WHEN regexp_full_match(trim(version_number), '[+-]?[0-9]+') THEN try_cast(trim(version_number) AS BIGINT) END",
+}
+
+
+@query(
+    "p6_unified",
+    f"SELECT {', '.join(f'{_READ_AS[c]} {c}' if c in _READ_AS else c for c in _QUEUE_COLUMNS)} FROM candidate_inventory UNION ALL SELECT {', '.join(_QUEUE_COLUMNS)} FROM udi_details_queue",
+)
+def p6_unified(spark: SparkSession, d: str) -> DataFrame:
+    """The two deliveries of the queue, whose types drifted apart, read into one table by their edit script."""
+    return drift.unify([table(spark, d, "candidate_inventory"), table(spark, d, "udi_details_queue")])[0]
 
 
 # --------------------------------------------------------------------------- p7

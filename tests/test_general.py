@@ -369,21 +369,93 @@ def test_nested_edits():
     assert drift.edit_script([], []) == []
 
 
-def test_assignment_is_cheapest():
+def matchings(n, m):
     import itertools
 
+    for k in range(min(n, m) + 1):
+        for rs in itertools.combinations(range(n), k):
+            for cs in itertools.permutations(range(m), k):
+                yield list(zip(rs, cs, strict=True))
+
+
+def test_assignment_is_cheapest():
     rnd = random.Random(3)
-    for _ in range(60):
+    for _ in range(200):
         n, m = rnd.randint(1, 4), rnd.randint(1, 4)
-        cost = [[rnd.random() for _ in range(m)] for _ in range(n)]
-        skip = 0.3
-        got = drift.assign(cost, skip)
-        price = sum(cost[i][j] for i, j in got) + skip * (n + m - 2 * len(got))
-        best = min(
-            sum(cost[i][j] for i, j in zip(rs, cs, strict=True)) + skip * (n + m - 2 * k)
-            for k in range(min(n, m) + 1) for rs in itertools.combinations(range(n), k) for cs in itertools.permutations(range(m), k)
-        )
-        assert abs(price - best) < 1e-9
+        cost = [[rnd.choice([rnd.random(), 0.2]) for _ in range(m)] for _ in range(n)]
+        out, put = [rnd.choice([0.25, 0.5]) for _ in range(n)], [rnd.choice([0.1, 0.25]) for _ in range(m)]
+
+        def price(pairs, cost=cost, out=out, put=put):
+            return sum(cost[i][j] - out[i] - put[j] for i, j in pairs)
+
+        got = drift.assign(cost, out, put)
+        assert len({i for i, _ in got}) == len({j for _, j in got}) == len(got)
+        assert abs(price(got) - min(price(p) for p in matchings(n, m))) < 1e-9
+    assert drift.assign([], [], [0.5]) == [] and drift.assign([[], []], [1, 1], []) == []
+
+
+def test_wide_schemas_are_matched_in_time():
+    old, new = [F_(f"col_{i:04d}_name") for i in range(150)], [F_(f"col_{i:04d}name") for i in range(150)]
+    assert len([e for e in drift.edit_script(old, new) if e.kind == "renamed"]) == 150
+
+
+def brute_forest(a, b, x, y):
+    was, now = ({n.rsplit(".", 1)[-1]: n for n in t.children[at]} for t, at in ((a, x), (b, y)))
+
+    def node(i, j):
+        old, new = a.nodes[i], b.nodes[j]
+        same = i.rsplit(".", 1)[-1] == j.rsplit(".", 1)[-1]
+        own = drift.RETYPE * (old.kind is not None and new.kind is not None and old.kind != new.kind) if same else drift.rename_cost(old, new)
+        return own + brute_forest(a, b, i, j)
+
+    lost, gained = [was[n] for n in was if n not in now], [now[n] for n in now if n not in was]
+    best = min(
+        sum(node(lost[i], gained[j]) for i, j in pairs)
+        + drift.INDEL * sum(a.size[n] for k, n in enumerate(lost) if k not in {i for i, _ in pairs})
+        + drift.INDEL * sum(b.size[n] for k, n in enumerate(gained) if k not in {j for _, j in pairs})
+        for pairs in matchings(len(lost), len(gained))
+    )
+    return best + sum(node(was[n], now[n]) for n in was if n in now)
+
+
+def test_scripts_of_random_trees_cost_least():
+    rnd = random.Random(12)
+    for _ in range(300):
+        trees = []
+        for _ in range(2):
+            names = [""]
+            for _ in range(rnd.randint(1, 6)):
+                parent = rnd.choice(names)
+                name = (parent + "." if parent else "") + rnd.choice(["a", "ab", "abc", "x", "xy", "city_name", "cityname"])
+                if name not in names:
+                    names.append(name)
+            trees.append([F_(n, rnd.choice(["int", "string", None])) for n in names[1:]])
+        a, b = drift._Tree(trees[0]), drift._Tree(trees[1])
+        assert abs(drift.script_cost(*trees) - brute_forest(a, b, "", "")) < 1e-9
+        assert drift.edit_script(trees[0], trees[0]) == []
+        # nothing is lost: every field of either side is kept, renamed, moved, added or removed
+        script = drift.edit_script(*trees)
+        assert len(script) == len(set(script))
+
+
+def test_renamed_parents_are_known_by_their_children():
+    """The cheapest script is two renames; taking the parents' names alone would move all four fields."""
+    old, new = ([F_(n) for n in names] for names in (["alpha.x", "alpha.y", "beta.p", "beta.q"], ["gamma.p", "gamma.q", "delta.x", "delta.y"]))
+    assert drift.edit_script(old, new) == [drift.Edit("renamed", "delta", "alpha"), drift.Edit("renamed", "gamma", "beta")]
+
+
+def test_a_parent_that_stays_is_no_rename():
+    old, new = ([F_(n) for n in names] for names in (["a.kept", "a.y"], ["a.kept", "b.y"]))
+    assert drift.edit_script(old, new) == [drift.Edit("moved", "b.y", "a.y")]
+    # a subtree moves as one, and a move that does not pay is none
+    old, new = ([F_(n) for n in names] for names in (["a.k", "a.s.t.u", "c.k"], ["a.k", "c.k", "c.s.t.u"]))
+    assert drift.edit_script(old, new) == [drift.Edit("moved", "c.s", "a.s")]
+
+
+def test_small_samples_say_little_about_renames():
+    far = drift.rename_cost(F_("p", "int", 1.0, 4000), F_("q", "int", 0.5, 4000)) - drift.rename_cost(F_("p", "int"), F_("q", "int"))
+    near = [drift.rename_cost(F_("p", "int", 1.0, n), F_("q", "int", 0.5, n)) - drift.rename_cost(F_("p", "int"), F_("q", "int")) for n in (2, 29, 30, 31, 200)]
+    assert far > 0.29 and near == sorted(near) and near[0] < 0.1 and abs(near[2] - near[1]) < 0.01
 
 
 def test_schema_changes_between_deliveries(spark):
@@ -393,9 +465,12 @@ def test_schema_changes_between_deliveries(spark):
     data = load(1, ("a", "INT"), ("city_name", "varchar"), ("b", "int")) + load(2, table="other", *[("q", "int")])
     data += load(3, (" A ", "int"), ("cityname", "VARCHAR "), ("b", "bigint"), ("c", None), (None, "int")) + load(4, ("a", "int"), ("cityname", "varchar"), ("b", "bigint"), ("c", "int"))
     df = spark.createDataFrame(data, "feed string, load_no bigint, table_name string, field_name string, field_type string, non_null_rows bigint, total_rows bigint")
-    got = rows(drift.schema_changes(drift.schema_of_loads(df)), "load_no", "table_name", "field_name", "prev_field_name", "change_kind")
+    got = rows(drift.schema_changes(drift.fields_of_loads(df)), "load_no", "table_name", "field_name", "prev_field_name", "change_kind")
     assert got == [(3, "t", "b", "", "retyped"), (3, "t", "c", "", "added"), (3, "t", "cityname", "city_name", "renamed")]
-    assert drift.schema_changes(drift.schema_of_loads(df.limit(0))).count() == 0
+    assert drift.schema_changes(drift.fields_of_loads(df.limit(0))).count() == 0
+    # nested names: the parent stays, as one of its fields does
+    deep = spark.createDataFrame(load(1, ("p.keep", "int"), ("p.move", "int")) + load(2, ("p.keep", "int"), ("r.move", "int")), df.schema)
+    assert rows(drift.schema_changes(drift.fields_of_loads(deep)), "field_name", "prev_field_name", "change_kind") == [("r.move", "p.move", "renamed")]
 
 
 def test_unify_reads_all_files_into_one_table(spark):
