@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialise
+
 
 def heavy_keys(per_key: DataFrame, key: str, weight: str, share: float) -> list[str]:
     """Keys holding at least ``share`` of the summed weight: never more than ``1 / share`` of them.
@@ -49,12 +51,12 @@ def reference_problems(
     where a day is both before the first and after the last day it is ``late``.  Repeated rows count
     in ``n_refs``.  Empty inputs give an empty result (empty parents: everything is missing).
     """
-    pre = (
+    pre = materialise(
         references.select(ref_key.alias("ref_key"), ref_day.alias("ref_day"))
         .filter(F.col("ref_key").isNotNull())
         .groupBy("ref_key", "ref_day")
-        .agg(F.count(F.lit(1)).alias("n_refs"))
-        .persist()
+        .agg(F.count(F.lit(1)).alias("n_refs")),
+        "references",
     )
     spans = (
         parents.select(parent_key.alias("ref_key"), parent_first.alias("first_day"), parent_last.alias("last_day"))
@@ -62,7 +64,10 @@ def reference_problems(
         .groupBy("ref_key")
         .agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.lit(True).alias("known"))
     )
-    heavy = heavy_keys(pre, "ref_key", "n_refs", heavy_share)
+    # what meets in a task are the key's days, so they are what makes a key heavy
+    heavy = heavy_keys(pre.withColumn("days", F.lit(1)), "ref_key", "days", heavy_share)
+    if heavy:
+        spans = materialise(spans, "parents")  # both ways read it
     is_heavy = F.col("ref_key").isin(heavy) if heavy else F.lit(False)
 
     def judge(refs: DataFrame, found: DataFrame) -> DataFrame:

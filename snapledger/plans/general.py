@@ -127,7 +127,8 @@ def p2_breaks(spark: SparkSession, d: str) -> DataFrame:
 
 _FI = f"""
 WITH f AS (SELECT {nn('feed')} feed, load_no, lower({nn('table_name')}) table_name, lower({nn('field_name')}) field_name,
-                  max(non_null_rows) nn, max(total_rows) tot FROM field_inventory GROUP BY ALL),
+                  non_null_rows nn, total_rows tot FROM field_inventory
+           QUALIFY row_number() OVER (PARTITION BY {nn('feed')}, load_no, lower({nn('table_name')}), lower({nn('field_name')}) ORDER BY total_rows DESC NULLS LAST, non_null_rows DESC NULLS LAST) = 1),
 c AS (SELECT feed, load_no, table_name, tot, count(*) n FROM f WHERE tot IS NOT NULL GROUP BY ALL),
 t AS (SELECT feed, load_no, table_name, CASE WHEN count(*) FILTER (n = mx) = 1 THEN max(tot) FILTER (n = mx) END usual
       FROM (SELECT *, max(n) OVER (PARTITION BY feed, load_no, table_name) mx FROM c) GROUP BY ALL)
@@ -150,9 +151,6 @@ _PROFILED = {
     "UUID": r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", "MF_SRN": r"^[A-Z]{2}-[A-Z]{2}-\d{9}$", "AR_SRN": r"^[A-Z]{2}-AR-\d{9}$",
     "RISK_CLASS_ID": r"^-\d+$", "STATUS_ID": r"^-\d+$", "CURRENT_EXTRACT_DATE": r"^\d{4}-\d{2}-\d{2}$",
 }
-_PLAIN = ["CHANGE_TYPE", "DEVICE_NAME", "MF_NAME", "APPLICABLE_LEGISLATION_ID", "DEVICE_STATUS_TYPE_ID"]
-
-
 def _profile_sql(columns: list[str]) -> str:
     parts = []
     for c in columns:
@@ -165,12 +163,6 @@ def _profile_sql(columns: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("p2_profile", _profile_sql([*_PROFILED, *_PLAIN]))
-def p2_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Exact profile of chosen columns of the change log."""
-    return profile.base_profile(table(spark, d, "udi_change_events"), [*_PROFILED, *_PLAIN], _PROFILED)
-
-
 _EVENT_COLUMNS = [
     "EVENT_DATE", "EVENT_DATETIME_UTC", "PREVIOUS_EXTRACT_DATE", "PREVIOUS_EXTRACT_DATETIME_UTC", "CURRENT_EXTRACT_DATE", "CURRENT_EXTRACT_DATETIME_UTC",
     "CHANGE_TYPE", "CHANGE_SEVERITY", "CHANGED_COLUMNS", "CHANGED_COLUMNS_COUNT", "CHANGE_SUMMARY", "BUSINESS_KEY", "ENTITY_VARIANT_KEY", "ROW_HASH",
@@ -180,8 +172,8 @@ _EVENT_COLUMNS = [
 ]
 
 
-@query("p2_profile_all", _profile_sql(_EVENT_COLUMNS))
-def p2_profile_all(spark: SparkSession, d: str) -> DataFrame:
+@query("p2_profile", _profile_sql(_EVENT_COLUMNS))
+def p2_profile(spark: SparkSession, d: str) -> DataFrame:
     """Exact profile of every column of the change log."""
     return profile.base_profile(table(spark, d, "udi_change_events"), None, _PROFILED)
 

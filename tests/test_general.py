@@ -94,12 +94,60 @@ def test_small_loads_and_growth_are_no_breaks(spark):
     assert broken(inventory(spark, [1.0, 1.0, 0.0, 1.0], totals={3: 40})) == [(3, "f", "share")]
 
 
+def test_one_rule_for_loads_of_any_size(spark):
+    # around a tenth of the usual size nothing jumps: the same break shows as soon as its rows suffice
+    got = [bool(broken(inventory(spark, [0.8, 0.8, 0.8, 0.4, 0.8], totals={4: n}))) for n in (5, 20, 100, 390, 400, 410, 4000)]
+    assert got == sorted(got) and got[3] == got[4] == got[5] is True and not got[0]
+
+
+def test_logistic_regression_finds_the_odds():
+    from math import log
+
+    a, b = profile.fit_logistic((0.2, 0.6), ridge=0.0)
+    assert abs(a - log(0.4 / 0.8)) < 1e-4 and abs(b - log(0.6 * 0.8 / (0.4 * 0.2))) < 1e-4
+    for shares in ((0.0, 1.0), (1.0, 0.0), (0.5, 0.5), (0.0, 0.0), (1.0, 0.999)):
+        a, b = profile.fit_logistic(shares)
+        assert abs(a) < 100 and (b > 0) == (shares[1] > shares[0])
+    auc, gain = profile.two_sample(0.3, (0.8, 0.8))
+    assert abs(auc - 0.75) < 1e-9 and gain > 0.1
+    # folds that pull to either side of the load tell nothing about it
+    auc, gain = profile.two_sample(0.5, (0.8, 0.2))
+    assert auc < 0.5 and gain < 0
+
+
+def test_breaks_against_brute_force(spark):
+    """The same rule over all levels of a field instead of the nearest ones."""
+    rnd = random.Random(7)
+    data, want = [], set()
+    for f in range(60):
+        level, levels = rnd.choice([0.5, 0.9, 1.0]), []
+        known = profile._Field(0.009, 3.0)
+        for load in range(1, 12):
+            if rnd.random() < 0.15:
+                level = rnd.choice([0.0, 0.3, 0.7, 1.0])
+            tot = rnd.choice([40, 900, 5000])
+            nn = sum(rnd.random() < level for _ in range(tot))
+            data.append(("m", load, "t", f"f{f}", nn, tot))
+            best = min(((known.compare(nn, tot, x), x) for x in known.levels), key=lambda c: (c[0][0], -c[1].loads), default=None)
+            if best is not None and best[0][0] <= 2.5:
+                known.join(nn, tot, best[1])
+                continue
+            if best is not None and best[0][0] >= 6.0 and best[0][2] > 0:
+                want.add((load, f"f{f}"))
+            known.begin(nn, tot)
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, "feed string, load_no bigint, table_name string, field_name string, nn bigint, tot bigint")
+    assert {(r["load_no"], r["field_name"]) for r in profile.fill_breaks(df).collect()} == want and len(want) > 20
+
+
 def test_contradictions(spark):
     df = inventory(spark, [0.8, 0.8, 0.8])
     more = spark.createDataFrame(
         [("m", 1, " T ", "H ", 5000, 4000), ("m", 2, "t", "h", -3, 4000), ("m", 3, "t", "h", 10, 3999), ("m", 3, "t", "i", None, None), ("m", 3, None, "x", 1, 1), ("m", 3, "t", "h", 10, 3999)], df.schema
     )
     assert broken(df.unionByName(more)) == [(1, "h", "contradiction"), (2, "h", "contradiction"), (3, "h", "contradiction")]
+    # of rows that disagree one stands whole: no count is put together from two of them
+    assert rows(profile.inventory_fields(spark.createDataFrame([("m", 1, "t", "a", 9, 10), ("m", 1, "t", "a", 3, 12)], df.schema)), "nn", "tot") == [(3, 12)]
     two = spark.createDataFrame([("m", 1, "t", "a", 1, 10), ("m", 1, "t", "b", 1, 11)], df.schema)
     assert broken(two) == []  # nobody is accused
     assert broken(df.limit(0)) == []
@@ -130,7 +178,7 @@ def test_every_column_of_the_change_log_is_profiled(spark):
     from snapledger.plans import general
     from tests.conftest import SMALL
 
-    got = {r["column_name"]: r["pattern_violations"] for r in general.QUERIES["p2_profile_all"](spark, SMALL).collect()}
+    got = {r["column_name"]: r["pattern_violations"] for r in general.QUERIES["p2_profile"](spark, SMALL).collect()}
     assert set(got) == set(spark.read.parquet(f"{SMALL}/udi_change_events.parquet").columns) and len(got) == 33
     assert {c for c, n in got.items() if n is not None} == set(general._PROFILED)
 
