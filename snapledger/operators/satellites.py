@@ -1,19 +1,25 @@
 """Histories of changing attributes as insert-only satellites.
 
-A satellite holds one row per change: ``entity_key, version_key (the hash
-diff), valid_from, last_day``.  Rows are only ever appended, and only where
-the hash diff differs from the one before; end dates are not stored but come
-from a view with ``lead``.  Attributes that change at different rates belong in
-different satellites, so that a fast one does not multiply the slow ones' rows.
+Attributes are split by the rate at which they change, so that a fast one does
+not multiply the slow ones' rows.  Each group has a satellite: two tables that
+are only ever appended to.  ``seen`` has each distinct observation once;
+``rows`` has a row per change of the group's hash diff, and a row that corrects
+an earlier one where late observations demand it.  End dates are not stored but
+come from a view with ``lead``.
+
+A hot entity is cut by day: neighbours are found within (entity, day), and only
+one row per day meets in the entity's own window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import path_exists
+
 
 def hash_diff(cols: Sequence[str]) -> Column:
     """128-bit hash of the attributes; NULL and the text '' differ (a length is hashed with each value)."""
@@ -21,23 +27,48 @@ def hash_diff(cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def change_rates(df: DataFrame, entity: str, order: Sequence[str], attributes: Sequence[str]) -> DataFrame:
-    """``attribute, changes, steps, rate``: how often each attribute differs from the entity's row before.
+def neighbour(df: DataFrame, entity: str, cut: str, order: Sequence[str], value: Column, name: str, ahead: bool = False) -> DataFrame:
+    """``df`` with ``name``: ``value`` (never NULL) in the entity's row before, or after if ``ahead``.
 
-    NULL counts as a value. One window over the entity; no step gives rate 0.
+    ``cut`` divides an entity's rows into stretches that follow each other in ``order`` (NULL first).
     """
-    w = Window.partitionBy(entity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    prev = df.select(
-        entity,
-        *attributes,
-        F.row_number().over(w).alias("__n"),
-        *[F.lag(c).over(w).alias(f"__p_{c}") for c in attributes],
-    ).filter("__n > 1")
-    sums = prev.agg(
-        F.count(F.lit(1)).alias("steps"), *[F.count_if(~F.col(c).eqNullSafe(F.col(f"__p_{c}"))).alias(c) for c in attributes]
+    by = [F.col(c).asc_nulls_first() for c in order]
+    step = F.lead if ahead else F.lag
+    edge = (F.min_by if ahead else F.max_by)(value, F.struct(*order)).alias("__edge")
+    far = df.groupBy(entity, cut).agg(edge).select(
+        entity, cut, step("__edge").over(Window.partitionBy(entity).orderBy(F.col(cut).asc_nulls_first())).alias("__far")
     )
-    long = sums.unpivot(["steps"], list(attributes), "attribute", "changes")
-    return long.select(
+    near = df.withColumn(name, step(value).over(Window.partitionBy(entity, cut).orderBy(*by)))
+    joined = near.join(far.withColumnsRenamed({entity: "__e", cut: "__c"}), (F.col(entity) == F.col("__e")) & F.col(cut).eqNullSafe(F.col("__c")), "left")
+    return joined.withColumn(name, F.coalesce(name, "__far")).drop("__e", "__c", "__far")
+
+
+def carried(df: DataFrame, entity: str, cut: str, order: Sequence[str], marks: Sequence[str]) -> DataFrame:
+    """``df`` with each column of ``marks`` filled from the last row before that has it."""
+    by = [F.col(c).asc_nulls_first() for c in order]
+    far = df.groupBy(entity, cut).agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(*order))).alias(m) for m in marks])
+    so_far = Window.partitionBy(entity).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    far = far.select(F.col(entity).alias("__e"), F.col(cut).alias("__c"), *[F.last(m, ignorenulls=True).over(so_far).alias(f"__far_{m}") for m in marks])
+    within = Window.partitionBy(entity, cut).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    near = df.withColumns({m: F.last(m, ignorenulls=True).over(within) for m in marks})
+    joined = near.join(far, (F.col(entity) == F.col("__e")) & (F.col(cut) == F.col("__c")), "left")
+    return joined.withColumns({m: F.coalesce(m, f"__far_{m}") for m in marks}).drop("__e", "__c", *[f"__far_{m}" for m in marks])
+
+
+# --------------------------------------------------------------------------- rates
+
+
+def change_rates(df: DataFrame, entity: str, order: Sequence[str], attributes: Sequence[str], cut: Column | None = None) -> DataFrame:
+    """``attribute, changes, steps, rate``: how often each attribute differs from the entity's row before.
+
+    NULL counts as a value.  ``cut`` (by default the first of ``order``) divides an entity's rows into
+    stretches that follow each other, so that a hot entity is no single window.  No step gives rate 0.
+    """
+    known = df.select(entity, *dict.fromkeys([*order, *attributes]), (F.col(order[0]) if cut is None else cut).alias("__cut"))
+    full_order = list(dict.fromkeys([*order, *attributes]))
+    prev = neighbour(known, entity, "__cut", full_order, F.struct(*attributes), "__p").filter(F.col("__p").isNotNull())
+    sums = prev.agg(F.count(F.lit(1)).alias("steps"), *[F.count_if(~F.col(c).eqNullSafe(F.col(f"__p.{c}"))).alias(c) for c in attributes])
+    return sums.unpivot(["steps"], list(attributes), "attribute", "changes").select(
         "attribute",
         "changes",
         "steps",
@@ -53,75 +84,88 @@ def split_by_rate(rates: DataFrame, threshold: float = 0.5) -> dict[str, list[st
     return {k: sorted(v) for k, v in groups.items()}
 
 
-def append_rows(observations: DataFrame, *, order: Sequence[str] = ("day", "version_key")) -> DataFrame:
-    """Satellite rows of a batch: one per change of ``version_key`` within ``entity_key``.
+# --------------------------------------------------------------------------- satellites
 
-    ``observations``: ``entity_key, version_key, day`` and ``first_seen`` (may be NULL), one row each
-    time a state was seen.  A state returning after another is a new row; gaps end nothing.
-    ``valid_from`` is the earliest of the state's first day and those ``first_seen`` that are not after
-    their own row's day and are after the last day of the state before.
 
-    Rows without entity, version or day are left out; repeated rows change nothing; of two states on
-    one day the lower ``version_key`` comes first.  A hot entity is cut down to its distinct
-    (state, day, first_seen) before the window.
-    """
-    seen = (
-        observations.filter(F.col("entity_key").isNotNull() & F.col("version_key").isNotNull() & F.col("day").isNotNull())
-        .withColumn("first_seen", F.when(F.col("first_seen") <= F.col("day"), F.col("first_seen")))
-        .groupBy("entity_key", *order, *[c for c in ("version_key", "day") if c not in order])
-        .agg(F.collect_set("first_seen").alias("first_seen"))
-    )
-    w = Window.partitionBy("entity_key").orderBy(*order)
-    starts = seen.withColumn("__prev", F.lag("version_key").over(w)).withColumn(
-        "__before", F.when(~F.col("__prev").eqNullSafe(F.col("version_key")), F.lag("day").over(w))
-    )
-    runs = starts.withColumn(
-        "__run", F.sum((~F.col("__prev").eqNullSafe(F.col("version_key"))).cast("bigint")).over(w)
-    ).withColumn("__before", F.max("__before").over(Window.partitionBy("entity_key", "__run")))
-    earliest = F.array_min(F.filter("first_seen", lambda f: F.col("__before").isNull() | (f > F.col("__before"))))
-    return (
-        runs.withColumn("__from", F.least(F.col("day"), earliest))
-        .groupBy("entity_key", "__run")
-        .agg(
-            F.first("version_key").alias("version_key"),
-            F.min("__from").alias("valid_from"),
-            F.max("day").alias("last_day"),
-            *[F.min(c).alias(c) for c in order if c not in ("day", "version_key")],
-        )
-        .withColumnRenamed("__run", "version_seq")
-    )
+class Satellite:
+    """One group of attributes of all entities, in a folder of the shared file system.
 
+    ``append`` takes observations: ``entity_key, version_key, day``, ``first_seen`` (may be NULL), the columns
+    of ``order`` and the group's ``attributes``, one row each time a state was seen, in any order and as
+    often as one likes.  Without ``attributes`` the version key is the only one.
 
-def append_batch(satellite: DataFrame, batch: DataFrame) -> DataFrame:
-    """Only the rows of ``batch`` (from :func:`append_rows`) to add to ``satellite``.
+    A row begins where the hash diff differs from the entity's observation before; a state that returns after
+    another is a new row; gaps end nothing.  ``valid_from`` is the earliest of the row's days and those
+    ``first_seen`` that are not after their own row's day and are after the last day of the version before.
 
-    Each entity's latest satellite row is compared with the batch's first one: the same hash diff adds
-    nothing.  Days before the satellite's latest row are late and left out, as an insert-only table
-    cannot be rewritten.
+    Observations without entity, version or day are left out; repeated ones change nothing.  Of two states
+    on one day the lower version key comes first (or what ``order`` says).  Late observations may split a
+    row, begin one earlier or make one void: the entity's rows are derived again, and those that differ from
+    what is stored are appended; the newest batch stands.  Nothing stored is ever changed.  A batch that
+    failed half-way can be appended again.
     """
-    latest = satellite.groupBy("entity_key").agg(
-        F.max(F.struct("version_seq", "version_key", "last_day")).alias("__l")
-    )
-    joined = batch.join(latest, "entity_key", "left")
-    return (
-        joined.filter(
-            F.col("__l").isNull()
-            | (
-                (F.col("last_day") > F.col("__l.last_day"))
-                & ~((F.col("version_seq") == 1) & (F.col("version_key") == F.col("__l.version_key")))
-            )
-        )
-        .withColumn("version_seq", F.col("version_seq") + F.coalesce(F.col("__l.version_seq"), F.lit(0)))
-        .drop("__l")
-    )
 
-
-def history_view(satellite: DataFrame, order: Sequence[str] = ("version_seq",)) -> DataFrame:
-    """``entity_key, version_key, valid_from, valid_to``: the end is the next row's start, '' if none."""
-    w = Window.partitionBy("entity_key").orderBy(*order)
-    return satellite.select(
-        "entity_key",
-        "version_key",
-        "valid_from",
-        F.coalesce(F.lead("valid_from").over(w), F.lit("")).alias("valid_to"),
-    )
+    def __init__(self, spark: SparkSession, path: str, *, attributes: Sequence[str] = (), order: Sequence[str] = ("day", "version_key")):
+        self.spark, self.path = spark, path
+        self.attributes = list(attributes)
+        self.order = [*order, "hash_diff"]
+        self.key = list(dict.fromkeys(["entity_key", "day", "version_key", *self.order]))
+
+    def _table(self, what: str) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.path}/{what}") if path_exists(self.spark, f"{self.path}/{what}") else None
+
+    def append(self, observations: DataFrame) -> None:
+        seen, stored = self._table("seen"), self._table("rows")
+        batch = 0 if stored is None else (stored.agg(F.max("batch").alias("b")).first()["b"] or 0) + 1
+        valid = observations.filter(F.col("entity_key").isNotNull() & F.col("version_key").isNotNull() & F.col("day").isNotNull())
+        first = F.when(F.col("first_seen") <= F.col("day"), F.col("first_seen"))
+        found = valid.withColumn("hash_diff", hash_diff(list(dict.fromkeys(["version_key", *self.attributes])))).select(
+            *self.key, F.coalesce(first, F.lit("")).alias("first_seen")
+        ).distinct()
+        fresh = found if seen is None else found.join(seen, found.columns, "left_anti")
+        fresh.write.mode("append").parquet(f"{self.path}/seen")
+        seen = self.spark.read.schema(found.schema).parquet(f"{self.path}/seen")
+        if stored is None:
+            rows = self._derive(seen)
+        else:
+            touched = found.select("entity_key").distinct()
+            latest = self._latest(stored.join(touched, "entity_key", "left_semi")).withColumnRenamed("valid_from", "__was").withColumn("__stored", F.lit(True))
+            now = self._derive(seen.join(touched, "entity_key", "left_semi")).withColumn("__now", F.lit(True))
+            both = now.join(latest, self.key, "full")
+            # what begins no row any more is void: a row without valid_from
+            rows = both.filter(F.col("__stored").isNull() | ~F.col("valid_from").eqNullSafe(F.col("__was"))).select(*self.key, "valid_from")
+        rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(f"{self.path}/rows")
+
+    def _derive(self, seen: DataFrame) -> DataFrame:
+        states = seen.groupBy(*self.key).agg(F.collect_set(F.nullif(F.col("first_seen"), F.lit(""))).alias("first_seen"))
+        order = self.order if self.order[0] == "day" else ["day", *self.order]
+        at = neighbour(states, "entity_key", "day", order, F.struct("day", "version_key", "hash_diff"), "__prev")
+        begins = F.col("__prev").isNull() | (F.col("__prev.hash_diff") != F.col("hash_diff"))
+        new_version = F.col("__prev").isNull() | (F.col("__prev.version_key") != F.col("version_key"))
+        at = at.withColumn("__row", F.when(begins, F.struct(*[F.col(c) for c in self.key if c != "entity_key"])))
+        at = at.withColumn("__version", F.when(new_version, F.struct(F.col("__prev.day").alias("before"))))
+        runs = carried(at, "entity_key", "day", order, ["__row", "__version"])
+        before = F.col("__version.before")
+        earliest = F.array_min(F.filter("first_seen", lambda f: before.isNull() | (f > before)))
+        return runs.groupBy("entity_key", "__row").agg(F.min(F.least("day", earliest)).alias("valid_from")).select("entity_key", "__row.*", "valid_from").select(*self.key, "valid_from")
+
+    def _latest(self, stored: DataFrame) -> DataFrame:
+        newest = F.max(F.struct("batch", "valid_from"))["valid_from"].alias("valid_from")
+        return stored.groupBy(*self.key).agg(newest).filter("valid_from IS NOT NULL")
+
+    def rows(self) -> DataFrame:
+        """What stands of the stored rows: the newest of each beginning that is not void."""
+        return self._latest(self._table("rows"))
+
+    def history(self) -> DataFrame:
+        """``entity_key, version_key, valid_from, valid_to``: the end is the next version's start, '' if none."""
+        order = self.order if self.order[0] == "day" else ["day", *self.order]
+        rows = self.rows()
+        if self.attributes:  # several rows may belong to one version
+            at = neighbour(rows, "entity_key", "day", order, F.struct("version_key"), "__prev")
+            new = F.col("__prev").isNull() | (F.col("__prev.version_key") != F.col("version_key"))
+            at = at.withColumn("__start", F.when(new, F.struct(*[c for c in self.key if c != "entity_key"])))
+            runs = carried(at, "entity_key", "day", order, ["__start"])
+            rows = runs.groupBy("entity_key", "__start").agg(F.min("valid_from").alias("valid_from")).select("entity_key", "__start.*", "valid_from")
+        out = neighbour(rows, "entity_key", "day", order, F.struct("valid_from"), "__next", ahead=True)
+        return out.select("entity_key", "version_key", "valid_from", F.coalesce("__next.valid_from", F.lit("")).alias("valid_to"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, code_key, day_of, number_text, ulid_day, ulid_millis, uuid_key
 from ..operators import copy_diff, drift, orphans, profile, satellites, snapshot_diff
-from ..sources.tables import table
+from ..sources.tables import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,6 +190,9 @@ def p2_load_shift(spark: SparkSession, d: str) -> DataFrame:
 # --------------------------------------------------------------------------- p3
 
 
+_PAGE_ATTRIBUTES = ["PAGE_HASH", "NEXT_LINK_HASH", "ROWS_COUNT", "REQUEST_DURATION_MS"]
+
+
 def _page_observations(spark: SparkSession, d: str) -> DataFrame:
     """Page states: failed fetches show none.  The key is fixed text, so NULL parts leave no entity."""
     links = table(spark, d, "nextlinks").filter(F.col("STATUS_CODE") == 200)
@@ -198,9 +201,15 @@ def _page_observations(spark: SparkSession, d: str) -> DataFrame:
         clean("PAGE_HASH").alias("version_key"),
         F.coalesce(day_of("LAST_SEEN_DATE"), day_of("EXTRACT_DATE")).alias("day"),
         day_of("FIRST_SEEN_DATE").alias("first_seen"),
+        clean("PAGE_HASH").alias("PAGE_HASH"), clean("NEXT_LINK_HASH").alias("NEXT_LINK_HASH"), "ROWS_COUNT", "REQUEST_DURATION_MS",
     )
 
 
+def _page_rates(spark: SparkSession, d: str) -> DataFrame:
+    known = _page_observations(spark, d).filter("entity_key IS NOT NULL AND version_key IS NOT NULL AND day IS NOT NULL")
+    return satellites.change_rates(known, "entity_key", ["day"], _PAGE_ATTRIBUTES)
+
+
 def _version_observations(spark: SparkSession, d: str) -> DataFrame:
     """Queued device versions, one row per candidate: what any of its rows knows of code and time."""
     queue = table(spark, d, "udi_details_queue")
@@ -221,10 +230,15 @@ def _version_observations(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _satellite_rows(spark: SparkSession, d: str) -> DataFrame:
-    pages = satellites.append_rows(_page_observations(spark, d))
-    versions = satellites.append_rows(_version_observations(spark, d), order=("at_ms", "ulid", "version_key")).select(*pages.columns)
-    return pages.withColumn("table_name", F.lit("nextlinks")).unionByName(versions.withColumn("table_name", F.lit("udi_details_queue")))
+def _histories(spark: SparkSession, d: str) -> dict[str, satellites.Satellite]:
+    """A satellite of the page attributes that change as the page hash does, and one of the device versions."""
+    groups = satellites.split_by_rate(_page_rates(spark, d))
+    with_hash = next(g for g in groups.values() if "PAGE_HASH" in g)
+    pages = satellites.Satellite(spark, scratch_path(spark, "pages"), attributes=[c for c in with_hash if c != "PAGE_HASH"])
+    pages.append(_page_observations(spark, d))
+    versions = satellites.Satellite(spark, scratch_path(spark, "versions"), order=("at_ms", "ulid", "version_key"))
+    versions.append(_version_observations(spark, d))
+    return {"nextlinks": pages, "udi_details_queue": versions}
 
 
 _ULID_MS = "(" + " + ".join(f"(strpos('0123456789ABCDEFGHJKMNPQRSTVWXYZ', substr(ulid,{i + 1},1))-1)::BIGINT * {32 ** (9 - i)}" for i in range(10)) + ")"
@@ -249,11 +263,7 @@ SELECT 'udi_details_queue', k, h, strftime(make_timestamp(ms*1000), '%Y-%m-%d'),
 @query("p3_found", _P3)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Versions of pages and devices with the period in which each was valid."""
-    rows = _satellite_rows(spark, d)
-    # one view per satellite; the entity keys of the two tables cannot meet in a window
-    views = [
-        satellites.history_view(rows.filter(F.col("table_name") == t)).withColumn("table_name", F.lit(t)) for t in ("nextlinks", "udi_details_queue")
-    ]
+    views = [s.history().withColumn("table_name", F.lit(t)) for t, s in _histories(spark, d).items()]
     return views[0].unionByName(views[1]).select("table_name", "entity_key", "version_key", "valid_from", "valid_to")
 
 
@@ -273,7 +283,26 @@ _P3R = (
 def p3_change_rates(spark: SparkSession, d: str) -> DataFrame:
     """How often each attribute of the queue changes between a device's rows: what goes into which satellite."""
     queue = table(spark, d, "udi_details_queue").withColumn("entity_key", F.coalesce(code_key("primary_di_code"), uuid_key("candidate_uuid")))
-    return satellites.change_rates(queue.filter("entity_key IS NOT NULL"), "entity_key", ["queued_at_utc", "candidate_uuid", *_RATED], _RATED)
+    day = F.substring("queued_at_utc", 1, 10)
+    return satellites.change_rates(queue.filter("entity_key IS NOT NULL"), "entity_key", ["queued_at_utc", "candidate_uuid", *_RATED], _RATED, day)
+
+
+_PAGE_RATE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ("day", *_PAGE_ATTRIBUTES))
+_P3P = (
+    f"WITH q AS (SELECT ENDPOINT||'|'||LABEL||'|'||PAGE k, coalesce({dd('LAST_SEEN_DATE')}, {dd('EXTRACT_DATE')}) \"day\", {', '.join(_PAGE_ATTRIBUTES)} FROM nextlinks WHERE STATUS_CODE = 200), "
+    f"l AS (SELECT *, row_number() OVER w n, {', '.join(f'lag({c}) OVER w p_{c}' for c in _PAGE_ATTRIBUTES)} FROM q "
+    f"WHERE k IS NOT NULL AND PAGE_HASH IS NOT NULL AND \"day\" IS NOT NULL WINDOW w AS (PARTITION BY k ORDER BY {_PAGE_RATE_ORDER})) "
+) + " UNION ALL ".join(
+    f"SELECT '{c}' attribute, (count(*) FILTER ({c} IS DISTINCT FROM p_{c}))::BIGINT changes, count(*)::BIGINT steps, "
+    f"round((count(*) FILTER ({c} IS DISTINCT FROM p_{c}))::DOUBLE / count(*)::DOUBLE, 4) rate FROM l WHERE n > 1"
+    for c in _PAGE_ATTRIBUTES
+)
+
+
+@query("p3_page_rates", _P3P)
+def p3_page_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each attribute of a page changes from one fetch to the next."""
+    return _page_rates(spark, d)
 
 
 # --------------------------------------------------------------------------- p4

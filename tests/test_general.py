@@ -12,6 +12,7 @@ from tests.conftest import rows
 from pyspark.sql import functions as F
 from snapledger.operators import copy_diff, drift, orphans, profile, satellites, snapshot_diff
 from snapledger.operators.snapshot_diff import History, SnapshotIndex, snapshot_rows
+from snapledger.sources.tables import scratch_path
 
 C = F.col
 
@@ -212,8 +213,12 @@ def observed(spark, data):
     return spark.createDataFrame(data, "entity_key string, version_key string, day string, first_seen string")
 
 
-def history(spark, data):
-    return rows(satellites.history_view(satellites.append_rows(observed(spark, data))))
+def history(spark, *batches, **kw):
+    """What the satellite's view shows once the batches have been appended in turn."""
+    satellite = satellites.Satellite(spark, scratch_path(spark, "satellite"), **kw)
+    for data in batches:
+        satellite.append(data if kw else observed(spark, data))
+    return rows(satellite.history())
 
 
 def test_history_rules(spark):
@@ -246,23 +251,72 @@ def brute_history(data):
     return sorted(out)
 
 
-@settings(max_examples=12, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from("ef"), st.sampled_from("AB"), st.integers(1, 20), st.integers(0, 22)), min_size=1, max_size=25))
-def test_history_against_brute_force(spark, data):
-    # one state a day, as two on a day have only an order by convention
-    picked = {(e, d): (e, v, f"2025-01-{d:02d}", f"2025-01-{f:02d}" if f else None) for e, v, d, f in data}
-    made = sorted(picked.values(), key=str)
-    assert history(spark, made) == brute_history(made)
+def test_batches_in_any_order_give_the_same_history(spark):
+    """Late rows split, begin, join and void rows that are stored already."""
+    rnd = random.Random(14)
+    picked = {}
+    for e in range(80):
+        for day in rnd.sample(range(1, 21), rnd.randint(1, 9)):
+            first = rnd.randint(0, 22)
+            picked[e, day] = ((f"e{e:02d}", rnd.choice("AB"), f"2025-01-{day:02d}", f"2025-01-{first:02d}" if first else None), rnd.randint(0, 2))
+    batches = [[r for r, n in picked.values() if n == k] for k in range(3)]
+    want = brute_history([r for r, _ in picked.values()])
+    assert history(spark, *batches) == want == history(spark, [], sum(batches, []))
 
 
 def test_satellite_appends_only_changes(spark):
-    first = satellites.append_rows(observed(spark, [("e", "A", "2025-01-01", None), ("e", "B", "2025-01-05", None)]))
-    second = satellites.append_rows(observed(spark, [("e", "B", "2025-01-08", None), ("e", "C", "2025-01-09", None), ("n", "A", "2025-01-09", None)]))
-    added = satellites.append_batch(first, second)
-    assert rows(added, "entity_key", "version_key", "version_seq") == [("e", "C", 4), ("n", "A", 1)]
-    assert satellites.append_batch(first.unionByName(added), second).count() == 0  # again changes nothing
-    whole = rows(satellites.history_view(first.unionByName(added)))
-    assert whole == [("e", "A", "2025-01-01", "2025-01-05"), ("e", "B", "2025-01-05", "2025-01-09"), ("e", "C", "2025-01-09", ""), ("n", "A", "2025-01-09", "")]
+    satellite = satellites.Satellite(spark, scratch_path(spark, "satellite"))
+    first = [("e", "A", "2025-01-01", None), ("e", "A", "2025-01-03", None), ("e", "B", "2025-01-05", None)]
+    satellite.append(observed(spark, first))
+    assert satellite._table("rows").count() == 2
+    second = [("e", "B", "2025-01-08", None), ("e", "C", "2025-01-09", None), ("n", "A", "2025-01-09", None)]
+    for _ in range(2):  # the second time changes nothing
+        satellite.append(observed(spark, second))
+        assert satellite._table("rows").count() == 4 and satellite._table("seen").count() == 6
+    want = [("e", "A", "2025-01-01", "2025-01-05"), ("e", "B", "2025-01-05", "2025-01-09"), ("e", "C", "2025-01-09", ""), ("n", "A", "2025-01-09", "")]
+    assert rows(satellite.history()) == want
+    # a late state splits A; an earlier first day begins it sooner and makes the stored beginning void
+    satellite.append(observed(spark, [("e", "X", "2025-01-02", None), ("e", "A", "2024-12-31", "2024-12-30")]))
+    assert rows(satellite.history())[:4] == [("e", "A", "2024-12-30", "2025-01-02"), ("e", "A", "2025-01-03", "2025-01-05"), *want[1:2], want[2]]
+    stored = satellite._table("rows")
+    assert stored.count() == 8 and stored.filter("valid_from IS NULL").count() == 1 and satellite.rows().count() == 6
+    satellite.append(observed(spark, []))
+    assert satellite.rows().count() == 6
+
+
+def test_a_failed_batch_can_be_appended_again(spark):
+    satellite = satellites.Satellite(spark, scratch_path(spark, "satellite"))
+    satellite.append(observed(spark, [("e", "A", "2025-01-01", None)]))
+    late = [("e", "B", "2025-01-05", None)]
+    # as if the job had been lost between the two tables
+    valid = observed(spark, late).withColumn("hash_diff", satellites.hash_diff(["version_key"]))
+    valid.select(*satellite.key, F.lit("").alias("first_seen")).write.mode("append").parquet(f"{satellite.path}/seen")
+    satellite.append(observed(spark, late))
+    assert rows(satellite.history()) == [("e", "A", "2025-01-01", "2025-01-05"), ("e", "B", "2025-01-05", "")]
+
+
+def test_attributes_of_a_group_share_rows(spark):
+    schema = "entity_key string, version_key string, day string, first_seen string, n int"
+    data = [("e", "A", "2025-01-02", "2025-01-01", 1), ("e", "A", "2025-01-03", None, 2), ("e", "A", "2025-01-04", None, None), ("e", "B", "2025-01-05", None, None)]
+    satellite = satellites.Satellite(spark, scratch_path(spark, "satellite"), attributes=["n"])
+    satellite.append(spark.createDataFrame(data, schema))
+    assert satellite.rows().count() == 4
+    assert rows(satellite.history()) == [("e", "A", "2025-01-01", "2025-01-05"), ("e", "B", "2025-01-05", "")]
+
+
+def test_neighbours_across_stretches(spark):
+    rnd = random.Random(2)
+    data = list(dict.fromkeys((rnd.choice("efgh"), rnd.choice([None, 1, 2, 3]), rnd.randint(0, 50)) for _ in range(120)))
+    df = spark.createDataFrame(data, "k string, c int, n int")
+    order = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    want = []
+    for e, c, n in order:
+        mine = [r for r in order if r[0] == e]
+        at = mine.index((e, c, n))
+        want.append((e, c, n, mine[at - 1][2] if at else None, mine[at + 1][2] if at + 1 < len(mine) else None))
+    got = satellites.neighbour(df, "k", "c", ["c", "n"], F.struct("n"), "p")
+    got = satellites.neighbour(got, "k", "c", ["c", "n"], F.struct("n"), "q", ahead=True)
+    assert rows(got.select("k", "c", "n", "p.n", "q.n")) == rows(spark.createDataFrame(want, "k string, c int, n int, p int, q int"))
 
 
 def test_split_by_change_rate(spark):
