@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, normalise_id, number_text, uuid_key
 from ..plans.general import nn, uu
-from ..sources.tables import table
+from ..sources.tables import materialise, table
 from . import consensus, mixing, subjects, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,10 +129,9 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 @query("p8_roundtrip", "SELECT doc_id, true exact FROM documents")
 def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Whether decoding a document's ids gives its text again."""
-    # keys must be distinct to decode: of rows with one id the lowest text stands, as there are none in these tables
-    docs = table(spark, d, "documents").groupBy("doc_id").agg(F.min("text").alias("text"))
-    back = tokens.decode_corpus(tokens.encode_corpus(docs, "doc_id", "text"), "doc_id").withColumnRenamed("text", "decoded")
-    return docs.join(back, "doc_id").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("exact"))
+    docs = materialise(table(spark, d, "documents").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "numbered")
+    back = tokens.decode_corpus(tokens.encode_corpus(docs, "row", "text"), "row").withColumnRenamed("text", "decoded")
+    return docs.join(back, "row").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("exact"))
 
 
 # --------------------------------------------------------------------------- p9
@@ -154,23 +153,31 @@ def language(c: str) -> Column:
     return F.coalesce(F.when(named != "", named), F.lit("und"))
 
 
+# The domain each source belongs to; a source not named here is one of its own.
+DOMAINS = {
+    "leaflets": "instructions", "manuals": "instructions", "parliament_minutes": "public", "newswire": "public", "encyclopedia": "public",
+    "subtitles": "spoken", "forum": "spoken", "pilot_scans": "archive", "old_archive": "archive",
+}
+
+
 def _targets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "source_weights").select(
         source_name("source").alias("source"), F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("bigint").alias("max_repeats")
     )
 
 
-def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    targets = _targets(spark, d)
-    wanted = targets.collect()  # one row per source
+def _sized(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", source_name("source").alias("source"), language("lang").alias("lang"))
-    # one size per document, so that repeated ids do not multiply in the join
-    sizes = tokens.token_counts(docs, "doc_id", "text").groupBy("doc_id").agg(F.max("n_tokens").alias("n_tokens"))
-    sized = docs.select("doc_id", "source", "lang").join(sizes, "doc_id")
-    chosen = mixing.choose(
-        sized, "doc_id", "n_tokens", ["source", "lang"], {(r["source"],): r["target_share"] for r in wanted}, {r["source"]: r["max_repeats"] for r in wanted}, seed=20
-    )
-    return chosen, targets
+    domain = F.col("source")
+    for name, at in DOMAINS.items():
+        domain = F.when(F.col("source") == name, F.lit(at)).otherwise(domain)
+    return tokens.with_token_counts(docs, "text").withColumn("domain", domain)
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The chosen documents, the targets, and all documents with their sizes."""
+    targets, sized = _targets(spark, d), materialise(_sized(spark, d), "sized")
+    return mixing.choose(sized, "doc_id", "n_tokens", ["domain", "lang", "source"], targets, "source", seed=20), targets, sized
 
 
 @query("p9_mix")
@@ -182,10 +189,24 @@ def p9_mix(spark: SparkSession, d: str) -> DataFrame:
 @query("p9_shares")
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual share of each source, shortfalls included."""
-    chosen, targets = _mix(spark, d)
+    chosen, targets, _ = _mix(spark, d)
     return mixing.shares(chosen, targets, "source")
 
 
+@query("p9_kept", "SELECT regexp_replace(lower(trim(source)), '[ _]+', '_', 'g') source, target_share, true caps_kept, true target_met FROM source_weights")
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Whether no document of a source is taken too often, and whether the source has its share or gave all it could."""
+    chosen, targets, sized = _mix(spark, d)
+    most = chosen.groupBy("source").agg(F.max("repeats").alias("most"))
+    held = sized.groupBy("doc_id").agg(F.max(F.struct("n_tokens", "source")).alias("x")).groupBy("x.source").agg(F.sum("x.n_tokens").alias("held"))
+    got = mixing.shares(chosen, targets, "source").join(most, "source", "left").join(held, "source", "left")
+    return got.select(
+        "source", "target_share", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("caps_kept"),
+        # a prefix ends before the first document that does not fit, so a share may lack a few tokens
+        ((F.col("actual_share") >= 0.99 * F.col("target_share")) | (F.col("actual_tokens") == F.coalesce("held", F.lit(0)) * F.col("max_repeats"))).alias("target_met"),
+    )
+
+
 # --------------------------------------------------------------------------- p10
 
 

@@ -68,6 +68,9 @@ def test_encoding_keeps_rows_and_decodes(spark):
     assert [r["ids"] for r in got.filter("k IN (2, 3)").collect()] == [[], []]
     assert got.filter("k IS NULL").count() == 2
     assert tokens.encode_corpus(df.limit(0), "k", "t").count() == 0
+    sized = tokens.with_token_counts(df.withColumn("ids", F.lit("clash")), "t", heavy_share=0.2)
+    assert rows(sized, "k", "n_tokens") == sorted(((r["k"], len(r["ids"])) for r in got.collect()), key=lambda t: (t[0] is not None, str(t[0]), t[1]))
+    assert tokens.with_token_counts(df.limit(0), "t").count() == 0
     texts = spark.createDataFrame([(i, t) for i, t in enumerate(["", "næste\n\n  dag – 3,5 €", "日本語 🙂" * 50])], "k bigint, t string")
     back = tokens.decode_corpus(tokens.encode_corpus(texts, "k", "t"), "k")
     assert rows(back) == rows(texts)
@@ -218,24 +221,54 @@ def test_long_values_align_like_short_ones():
 # --------------------------------------------------------------------------- mixing
 
 
-def test_water_fill():
-    assert mixing.water_fill(100, [1, 1], [100, 100]) == [50, 50]
-    assert mixing.water_fill(100, [1, 1], [10, 100]) == [10, 90]
-    assert mixing.water_fill(100, [3, 1, 1], [10, 20, 30]) == [10, 20, 30]
-    assert mixing.water_fill(100, [1, 0], [40, 100]) == [40, 60]
-    assert mixing.water_fill(0, [1, 2], [5, 5]) == [0, 0]
-
-
-def test_shortage_goes_to_siblings_before_ancestors():
-    L = mixing.Leaf
-    leaves = [L(("d1", "en", "s1"), 100, 1), L(("d1", "en", "s2"), 1000, 1), L(("d2", "en", "s3"), 1000, 1)]
-    got = mixing.budgets(leaves, 1000, {("d1",): 0.5, ("d2",): 0.5, ("d1", "en", "s1"): 0.5, ("d1", "en", "s2"): 0.5})
-    assert got == {("d1", "en", "s1"): 100, ("d1", "en", "s2"): 400, ("d2", "en", "s3"): 500}
-    short = mixing.budgets([*leaves[:1], leaves[2]], 1000, {("d1",): 0.5, ("d2",): 0.5})
-    assert short == {("d1", "en", "s1"): 100, ("d2", "en", "s3"): 900}
-    kept = mixing.budgets([*leaves[:1], leaves[2]], 1000, {("d1",): 0.5, ("d2",): 0.5}, spill=False)
-    assert kept[("d2", "en", "s3")] == 500
-    assert mixing.budgets([], 10, {}) == {}
+def brute_fill(budget, weights, room):
+    """A drop at a time: what a full child cannot take is split among the others again."""
+    got = [0.0] * len(weights)
+    for by in (list(weights), [r if w == 0 else 0.0 for w, r in zip(weights, room, strict=True)]):
+        free = [i for i in range(len(by)) if by[i] > 0 and room[i] > got[i]]
+        while free and budget - sum(got) > 1e-9:
+            unit = (budget - sum(got)) / sum(by[i] for i in free)
+            full = [i for i in free if got[i] + unit * by[i] >= room[i]]
+            for i in full or free:
+                got[i] = room[i] if full else got[i] + unit * by[i]
+            free = [i for i in free if i not in full] if full else []
+    return got
+
+
+def test_water_fill(spark):
+    rnd = random.Random(3)
+    cases = [(100, [1, 1], [100, 100]), (100, [1, 1], [10, 100]), (100, [3, 1, 1], [10, 20, 30]), (100, [1, 0], [40, 100]), (0, [1, 2], [5, 5]), (10, [0, 0], [30, 10]), (10, [1], [0])]
+    for _ in range(60):
+        n = rnd.randint(1, 6)
+        cases.append((rnd.randint(0, 100), [rnd.choice([0, 1, 2, 5]) for _ in range(n)], [rnd.choice([0, 5, 20, 20, 60]) for _ in range(n)]))
+    data = [(p, f"c{i}", float(b), float(w), float(r)) for p, (b, ws, rs) in enumerate(cases) for i, (w, r) in enumerate(zip(ws, rs, strict=True))]
+    df = spark.createDataFrame(data, "p int, c string, budget double, weight double, room double")
+    got = {(r["p"], r["c"]): r["got"] for r in mixing.water_fill(df, ["p"], "c").collect()}
+    for p, (b, ws, rs) in enumerate(cases):
+        assert [got[p, f"c{i}"] for i in range(len(ws))] == pytest.approx(brute_fill(b, ws, rs), abs=1e-6), cases[p]
+
+
+def split(spark, leaves, total):
+    df = spark.createDataFrame(leaves, "d string, l string, s string, weight double, room double")
+    return {(r["d"], r["l"], r["s"]): round(r["budget"], 6) for r in mixing.budgets(df, ["d", "l", "s"], F.lit(total)).collect()}
+
+
+def test_shortage_goes_to_siblings_before_ancestors(spark):
+    leaves = [("d1", "en", "s1", 0.25, 100.0), ("d1", "en", "s2", 0.25, 1000.0), ("d2", "en", "s3", 0.5, 1000.0)]
+    assert split(spark, leaves, 1000) == {("d1", "en", "s1"): 100, ("d1", "en", "s2"): 400, ("d2", "en", "s3"): 500}
+    # the language's siblings are full too: then the other language of the domain, then the other domain
+    leaves = [("d1", "en", "s1", 0.4, 100.0), ("d1", "da", "s1", 0.1, 250.0), ("d2", "en", "s3", 0.5, 1000.0)]
+    assert split(spark, leaves, 1000) == {("d1", "en", "s1"): 100, ("d1", "da", "s1"): 250, ("d2", "en", "s3"): 650}
+    assert split(spark, [], 10) == {}
+
+
+def test_a_source_keeps_its_share_in_every_language(spark):
+    """Targets go down the tree by what each leaf holds, so a source that has enough is never short in a language."""
+    docs = [(i, "big" if i % 3 else "other", ["en", "da", "de"][min(2, i % 7)], "d" if i % 3 else "e", 10) for i in range(2100)]
+    df = spark.createDataFrame(docs, "k bigint, s string, l string, d string, n int")
+    targets = spark.createDataFrame([("big", 0.6, 1), ("other", 0.4, 2)], "s string, target_share double, max_repeats bigint")
+    got = {r["s"]: r for r in mixing.shares(mixing.choose(df, "k", "n", ["d", "l", "s"], targets, "s"), targets, "s").collect()}
+    assert abs(got["big"]["actual_share"] - 0.6) < 0.005 and abs(got["other"]["actual_share"] - 0.4) < 0.005
 
 
 def brute_prefix(docs, seed_order, rest):
@@ -253,7 +286,8 @@ def test_prefix_of_epochs_against_brute_force(spark, budget):
     rnd = random.Random(4)
     data = [(i, "s", "en", rnd.randint(0, 9)) for i in range(400)]
     df = spark.createDataFrame([*data, (7, "s", "en", data[7][3]), (None, "s", "en", 5), (900, None, "en", 5), (901, "unlisted", "en", 5)], "k bigint, s string, l string, n int")
-    got = {r["k"]: r["repeats"] for r in mixing.choose(df, "k", "n", ["s", "l"], {("s",): 1.0}, {"s": 3}, total=budget, seed=9).collect()}
+    targets = spark.createDataFrame([("s", 1.0, 3)], "s string, target_share double, max_repeats bigint")
+    got = {r["k"]: r["repeats"] for r in mixing.choose(df, "k", "n", ["s", "l"], targets, "s", total=budget, seed=9).collect()}
     whole = sum(n for *_, n in data)
     size = min(budget, 3 * whole)
     epochs, rest = divmod(size, whole)
@@ -265,14 +299,21 @@ def test_prefix_of_epochs_against_brute_force(spark, budget):
 def test_mix_keeps_shares_and_caps(spark):
     docs = [(i, "big" if i % 10 else "small", "en" if i % 3 else "da", 10 + i % 7) for i in range(3000)]
     df = spark.createDataFrame(docs, "k bigint, s string, l string, n int")
-    chosen = mixing.choose(df, "k", "n", ["s", "l"], {("big",): 0.8, ("small",): 0.2}, {"big": 1, "small": 4}, total=20_000)
     targets = spark.createDataFrame([("big", 0.8, 1), ("small", 0.2, 4), ("none", 0.0, 1)], "s string, target_share double, max_repeats bigint")
+    chosen = mixing.choose(df, "k", "n", ["s", "l"], targets, "s", total=20_000)
     got = {r["s"]: r for r in mixing.shares(chosen, targets, "s").collect()}
     assert abs(got["big"]["actual_share"] - 0.8) < 0.01 and got["none"]["actual_tokens"] == 0
     assert chosen.agg(F.max(F.when(C("s") == "big", C("repeats")))).first()[0] == 1
-    again = mixing.choose(df.repartition(7), "k", "n", ["s", "l"], {("big",): 0.8, ("small",): 0.2}, {"big": 1, "small": 4}, total=20_000)
-    assert rows(chosen) == rows(again)
-    assert mixing.choose(df.limit(0), "k", "n", ["s", "l"], {}, {"big": 1}).count() == 0
+    assert rows(chosen) == rows(mixing.choose(df.repartition(7), "k", "n", ["s", "l"], targets, "s", total=20_000))
+    assert mixing.choose(df.limit(0), "k", "n", ["s", "l"], targets, "s").count() == 0
+
+
+def test_any_number_of_leaves(spark):
+    """Nothing is planned on the driver: a source for each document is no special case."""
+    df = spark.range(5000).select(C("id").alias("k"), C("id").cast("string").alias("s"), F.lit("en").alias("l"), F.lit(3).alias("n"))
+    targets = df.select("s", F.lit(1 / 5000).alias("target_share"), F.lit(2).cast("bigint").alias("max_repeats"))
+    got = mixing.choose(df, "k", "n", ["l", "s"], targets, "s", total=30_000)
+    assert got.count() == 5000 and got.agg(F.min("repeats")).first()[0] == 2
 
 
 # --------------------------------------------------------------------------- subjects
