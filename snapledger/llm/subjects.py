@@ -1,12 +1,13 @@
 """Subject areas of documents by curated weighted terms.
 
 All writings of all terms go into one multi-pattern automaton; each text is read
-through it once.  A term counts once per text.  Its weight follows its rarity in
-the corpus, the sum is normalised by the text's length, and every subject whose
-score exceeds the calibrated threshold is assigned.
+through it once.  A term counts once per text.  Its weight is the curated one
+(1, or ``WEAK_WEIGHT`` for words of everyday or double meaning) times its rarity
+in the corpus; the sum is normalised by the text's length, and every subject
+whose score exceeds the calibrated threshold is assigned.
 
-A weight lies between ``RARITY_FLOOR`` and 1, so with the length normalisation
-off one term alone never reaches the score of two.
+A rarity lies between ``RARITY_FLOOR`` and 1, so with the length normalisation
+off no telling term alone, even with weak ones beside it, reaches the score of two.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from ..sources.tables import materialise
-from .terms import TERMS
+from .terms import MORE, TERMS, WEAK, WEAK_WEIGHT
 
 RARITY_FLOOR = 0.75
 #: Grid the calibration chooses from: (strength of the length normalisation, threshold).
-GRID = [(a, round(0.8 + 0.1 * k, 1)) for a in (0.0, 0.1, 0.2, 0.4) for k in range(20)]
+GRID = [(a, round(0.6 + 0.1 * k, 1)) for a in (0.0, 0.1, 0.2) for k in range(22)]
+#: Without labels: no length normalisation, and a threshold between a telling term with weak ones and two telling terms.
+UNLABELLED = (0.0, 1.4)
 #: Writings that a slip of the pen makes out of a term but that are words themselves.
 NO_SLIPS = frozenset({
     "patent", "stad", "audi", "curt", "coat", "cloth", "butte", "four", "fin",
@@ -57,19 +60,22 @@ def slips(term: str, shortest: int = 6) -> set[str]:
     return out - {term} - NO_SLIPS
 
 
-def term_table(terms: Mapping[str, Mapping[str, str]] = TERMS) -> dict[str, tuple[str, str]]:
-    """Writing -> (subject, term).  A writing shared by two subjects has a double meaning and is left out."""
+def term_table(terms: Mapping[str, Mapping[str, str]] | None = None, weak: Mapping[str, str] = WEAK) -> dict[str, tuple[str, str]]:
+    """Writing -> (subject, term), of ``TERMS`` and ``MORE`` unless given; weak words come as ``~term`` and have no slips.
+
+    A writing shared by two subjects has a double meaning and is left out.
+    """
     exact: dict[str, tuple[str, str]] = {}
     double: set[str] = set()
-    for subject, by_lang in terms.items():
-        for line in by_lang.values():
-            for entry in line.split(";"):
-                writings = [folded(w.strip()) for w in entry.split("/") if w.strip()]
-                known = next((exact[w] for w in writings if w in exact and exact[w][0] == subject), (subject, writings[0]))
-                for w in writings:
-                    if w in exact and exact[w][0] != subject:
-                        double.add(w)
-                    exact.setdefault(w, known)
+    lists = [(s, line) for t in ([TERMS, MORE] if terms is None else [terms]) for s, by_lang in t.items() for line in by_lang.values()]
+    for subject, line in lists:
+        for entry in line.split(";"):
+            writings = [folded(w.strip()) for w in entry.split("/") if w.strip()]
+            known = next((exact[w] for w in writings if w in exact and exact[w][0] == subject), (subject, writings[0]))
+            for w in writings:
+                if w in exact and exact[w][0] != subject:
+                    double.add(w)
+                exact.setdefault(w, known)
     near: dict[str, set[tuple[str, str]]] = {}
     for w, owner in exact.items():
         for s in slips(w):
@@ -77,7 +83,9 @@ def term_table(terms: Mapping[str, Mapping[str, str]] = TERMS) -> dict[str, tupl
                 near.setdefault(s, set()).add(owner)
     out = {w: o for w, o in exact.items() if w not in double}
     out |= {s: next(iter(o)) for s, o in near.items() if len(o) == 1}
-    return out
+    words = [(folded(w.strip()), subject) for subject, line in weak.items() for w in line.split(";")]
+    shared = {w for w, _ in words if len({s for v, s in words if v == w}) > 1}
+    return out | {w: (s, f"~{w}") for w, s in words if w not in shared and w not in exact and w not in near}
 
 
 @lru_cache(maxsize=1)
@@ -142,7 +150,8 @@ def scored(matches: DataFrame, key: str) -> DataFrame:
     ends = freq.agg(F.max("df").alias("hi"), F.min("df").alias("lo")).first()
     span = F.lit(float(ends["hi"] or 1)), F.lit(float(ends["lo"] or 1))
     rarity = F.coalesce(F.try_divide(F.log(span[0] / F.col("df")), F.log(span[0] / span[1])), F.lit(1.0))
-    weights = F.broadcast(freq.select("term", (RARITY_FLOOR + (1 - RARITY_FLOOR) * rarity).alias("w")))  # bounded by the curated list
+    curated = F.when(F.startswith("term", F.lit("~")), F.lit(WEAK_WEIGHT)).otherwise(F.lit(1.0))
+    weights = F.broadcast(freq.select("term", (curated * (RARITY_FLOOR + (1 - RARITY_FLOOR) * rarity)).alias("w")))  # bounded by the curated list
     one = flat.join(weights, "term").groupBy(key, "subject").agg(  # a set, so a repeated row's terms count once
         F.max("n_words").alias("n_words"), F.collect_set(F.struct("term", "w")).alias("ts")
     )
@@ -152,16 +161,16 @@ def scored(matches: DataFrame, key: str) -> DataFrame:
 
 
 def score(alpha: float):
-    """Weight normalised by length: texts of up to 50 words are not touched."""
-    return F.col("weight") / (1 + alpha * F.log(F.greatest(F.col("n_words"), F.lit(50)) / 50.0))
+    """Weight normalised by length, smoothly over all lengths."""
+    return F.col("weight") / (1 + alpha * F.log1p(F.col("n_words") / 50.0))
 
 
 def calibrate(scores: DataFrame, labels: DataFrame, key: str) -> tuple[float, float]:
     """The (alpha, threshold) of the grid with the best F1 on labelled documents.
 
     ``labels``: ``key, subject``; all labels are used, counted where they lie, and only one row per grid
-    point comes back.  Of equal F1 the smallest alpha, then the middle threshold.  Without labels two
-    terms are asked for: (0, 1.2).
+    point comes back.  Of equal F1 the strongest normalisation, then the middle threshold.  Without labels two
+    telling terms are asked for: ``UNLABELLED``.
     """
     known = labels.select(key).distinct()
     judged = scores.join(known, key, "left_semi").join(labels.select(key, "subject", F.lit(1).alias("yes")).distinct(), [key, "subject"], "full")
@@ -171,10 +180,10 @@ def calibrate(scores: DataFrame, labels: DataFrame, key: str) -> tuple[float, fl
         aggs += [F.count_if(said & F.col("yes").isNotNull()).alias(f"tp{i}"), F.count_if(said).alias(f"p{i}")]
     row = judged.agg(F.count("yes").alias("n"), *aggs).first()
     if not row["n"]:
-        return 0.0, 1.2
+        return UNLABELLED
     f1 = [2 * row[f"tp{i}"] / (row[f"p{i}"] + row["n"]) for i in range(len(GRID))]
     best = [g for g, f in zip(GRID, f1, strict=True) if f >= max(f1) - 1e-12]
-    alpha = min(a for a, _ in best)
+    alpha = max(a for a, _ in best)
     level = sorted(t for a, t in best if a == alpha)
     return alpha, level[len(level) // 2]
 
@@ -186,5 +195,5 @@ def subjects_of(docs: DataFrame, key: str, text: str, labels: DataFrame | None =
     Terms of all languages are looked for in every text.  Whole texts are read.
     """
     scores = scored(materialise(match_terms(docs, key, text), "subject-terms"), key)
-    alpha, threshold = calibrate(scores, labels, key) if labels is not None else (0.0, 1.2)
+    alpha, threshold = calibrate(scores, labels, key) if labels is not None else UNLABELLED
     return scores.withColumn("score", score(alpha)).filter((F.col("score") > threshold)).select(key, "subject", "n_terms", F.round("score", 6).alias("score"))

@@ -91,3 +91,70 @@ TERMS: dict[str, dict[str, str]] = {
         "piste d'atterrissage/atterrissage; remorqué; dérouté; déchargé sur le quai/déchargé/quai; garé; retardé à la frontière/retardé/frontière",
     },
 }
+
+# Further terms of general vocabulary, chosen by subject and not from any corpus.
+MORE: dict[str, dict[str, str]] = {
+    "cooking": {
+        "en": "frying pan; casserole dish; simmer; cinnamon; parsley; thyme; lasagne; pastry; marinade; whisk; tablespoon; teaspoon; cookbook; roasted; grilled; flour; lentils; custard",
+        "da": "stegepande; timian; persille; kanel; marinade; kagerulle; spiseske; teske; kogebog; ristet; grillet; hvedemel; linser; pandekager; frikadeller",
+        "de": "bratpfanne; thymian; petersilie; zimt; marinade; esslöffel; teelöffel; kochbuch; gebraten; gegrillt; weizenmehl; linsensuppe; pfannkuchen; knödel; sahne",
+        "fr": "cannelle; persil; thym; cuillère à soupe; cuillère à café; livre de cuisine; rôti; grillé; farine; lentilles; crêpes; ratatouille; crème fraîche; mijoter; poivron",
+    },
+    "finance": {
+        "en": "bookkeeping; balance sheet; creditor; debtor; bankruptcy; hedge fund; treasury bond; cash flow; fiscal year; inflation; savings account; income tax; broker; equity fund; net profit",
+        "da": "bogføring; kreditor; debitor; konkurs; statsobligation; pengestrøm; regnskabsår; inflation; opsparingskonto; indkomstskat; børsmægler; nettooverskud; egenkapital; kassekredit",
+        "de": "buchhaltung; bilanz; gläubiger; schuldner; insolvenz; staatsanleihe; geschäftsjahr; inflation; sparkonto; einkommensteuer; börsenmakler; nettogewinn; eigenkapital; umsatzsteuer",
+        "fr": "comptabilité; bilan comptable; créancier; débiteur; faillite; trésorerie; exercice fiscal; inflation; compte d'épargne; impôt sur le revenu; courtier; bénéfice net; fonds propres; obligation d'état",
+    },
+    "law": {
+        "en": "defendant; prosecutor; jury; subpoena; plea bargain; injunction; affidavit; jurisdiction; felony; barrister; solicitor; testimony; litigation; indictment; constitutional; notary",
+        "da": "anklager; nævninge; stævning; jurisdiktion; forbrydelse; retssag; vidneudsagn; notar; højesteret; grundloven; straffeloven; forsvarer; kendelse; voldgift",
+        "de": "angeklagter; staatsanwalt; geschworene; vorladung; zuständigkeit des gerichts; rechtsstreit; zeugenaussage; notar; bundesgericht; grundgesetz; strafgesetzbuch; verteidiger; schiedsverfahren; anklageschrift",
+        "fr": "accusé; procureur; jurés; assignation; juridiction; infraction; litige; témoignage; notaire; cour suprême; code pénal; plaidoirie; arbitrage judiciaire; inculpation",
+    },
+    "medicine": {
+        "en": "antibiotic; vaccination; physician; stethoscope; anaesthesia; chemotherapy; tumour; insulin; blood pressure; symptom; asthma; diabetes; prescription; paediatrician; ultrasound; scalpel",
+        "da": "antibiotikum; vaccination; stetoskop; narkose; kemoterapi; svulst; insulin; blodtryk; symptom; astma; diabetes; sukkersyge; børnelæge; ultralyd; hjerteanfald",
+        "de": "antibiotikum; impfung; stethoskop; narkose; chemotherapie; tumor; insulin; blutdruck; symptom; asthma; diabetes; kinderarzt; ultraschall; herzinfarkt; skalpell",
+        "fr": "antibiotique; vaccination; stéthoscope; anesthésie; chimiothérapie; tumeur; insuline; tension artérielle; symptôme; asthme; diabète; pédiatre; échographie; ordonnance médicale; scalpel",
+    },
+    "science": {
+        "en": "photosynthesis; quantum; neutron; electron; supernova; evolution of species; chromosome; tectonic; astrophysics; isotope; catalyst; gravity; nebula; biodiversity; thermodynamics; botanist",
+        "da": "fotosyntese; kvantemekanik; neutron; elektron; supernova; kromosom; astrofysik; isotop; katalysator; tyngdekraft; stjernetåge; biodiversitet; termodynamik; botaniker",
+        "de": "photosynthese; quantenmechanik; neutron; elektron; supernova; chromosom; astrophysik; isotop; katalysator; schwerkraft; nebula; artenvielfalt; thermodynamik; botaniker",
+        "fr": "photosynthèse; mécanique quantique; neutron; électron; supernova; chromosome; astrophysique; isotope; catalyseur; gravité terrestre; nébuleuse; biodiversité; thermodynamique; botaniste",
+    },
+    "software": {
+        "en": "operating system; repository; runtime; stack trace; unit test; open source; programming language; middleware; cloud computing; javascript; python script; api endpoint; kernel; deployment; malware; website",
+        "da": "styresystem; programmeringssprog; enhedstest; fejlrettelse; skadelig software; hjemmeside; webserver; tekstfil; brugerflade; cloudtjeneste; computerprogram; softwareudvikler",
+        "de": "betriebssystem; programmiersprache; komponententest; schadsoftware; webseite; webserver; benutzeroberfläche; softwareentwickler; rechenzentrum; quelltext; fehlermeldung; laufzeitumgebung",
+        "fr": "système d'exploitation; langage de programmation; test unitaire; logiciel malveillant; site web; serveur web; interface utilisateur; développeur de logiciels; centre de données; message d'erreur; informatique en nuage; bibliothèque logicielle",
+    },
+    "sport": {
+        "en": "football; basketball; tennis; midfielder; championship; olympic; gymnast; cyclist; sprinter; half-time; world cup; swimmer; handball; athletics; quarter-final; offside",
+        "da": "fodbold; håndbold; basketball; tennis; midtbanespiller; mesterskab; olympisk; gymnast; cykelrytter; sprinter; halvleg; verdensmesterskab; svømmer; atletik; kvartfinale",
+        "de": "fussball; handball; basketball; tennis; mittelfeldspieler; meisterschaft; olympisch; turnerin; radrennfahrer; sprinter; halbzeit; weltmeisterschaft; schwimmerin; leichtathletik; viertelfinale",
+        "fr": "football; handball; basket-ball; tennis; milieu de terrain; championnat; olympique; gymnaste; cycliste; sprinteur; coupe du monde; nageuse; athlétisme; quart de finale; hors-jeu",
+    },
+    "transport": {
+        "en": "airport; tram; freight train; container ship; pedestrian crossing; traffic jam; commuter; lorry; roundabout; level crossing; passenger train; metro line; shipping lane; airline; car park; diesel engine",
+        "da": "lufthavn; sporvogn; godstog; containerskib; fodgængerfelt; trafikprop; pendler; rundkørsel; passagertog; metrolinje; flyselskab; parkeringsplads; varevogn; togstation; banegård",
+        "de": "flughafen; strassenbahn; güterzug; containerschiff; zebrastreifen; verkehrsstau; pendler; kreisverkehr; personenzug; u-bahn; fluggesellschaft; parkplatz; lieferwagen; bahnhof; spedition",
+        "fr": "aéroport; tramway; train de marchandises; porte-conteneurs; passage piéton; embouteillage; banlieusard; rond-point; ligne de métro; compagnie aérienne; parking; camionnette; gare routière; passage à niveau; péage",
+    },
+}
+
+#: Weight of words of everyday or double meaning: many of them do not make up for one telling term.
+WEAK_WEIGHT = 0.15
+
+# Words of everyday or double meaning, by the subject they may point to.
+WEAK: dict[str, str] = {
+    "cooking": "salt; pepper; pan; plate; dish; kitchen; salz; pfanne; küche; køkken; tallerken; cuisine; sel; assiette",
+    "finance": "bank; share; bond; interest; balance; account; charge; konto; kurs; zinsen; banque; compte; intérêt",
+    "law": "court; trial; case; sentence; party; bar; bench; sag; dom; fall; recht; cour; procès; droit",
+    "medicine": "cell; operation; ward; shock; pulse; celle; puls; zelle; schock; cellule; choc; pouls",
+    "science": "field; matter; culture; solution; space; felt; rum; feld; raum; lösung; champ; espace",
+    "software": "table; key; window; mouse; cloud; bus; shell; tabel; nøgle; vindue; maus; fenster; tabelle; souris; fenêtre; clé",
+    "sport": "match; goal; ball; net; pitch; club; score; mål; kamp; tor; spiel; but; jeu; filet",
+    "transport": "train; platform; track; station; port; line; bane; spor; zug; gleis; voie; ligne; gare",
+}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 
-import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -322,7 +321,7 @@ def test_any_number_of_leaves(spark):
 def test_terms_of_a_text():
     n, found = subjects.find_terms("The OVEN – and l'oignon; the soup­ and the soups, kicked  off by the referee at the bank.")
     assert found["cooking"] == {"oven", "oignon", "soup"}
-    assert found["sport"] == {"kicked off", "referee"} and "finance" not in found
+    assert found["sport"] == {"kicked off", "referee"} and found["finance"] == {"~bank"}  # a weak word, marked as such
     assert n == 18
     assert subjects.find_terms(None) == (0, {}) and subjects.find_terms("") == (0, {})
     assert subjects.find_terms("measured in kelvin")[1] == {"science": {"measured in kelvin"}}
@@ -345,7 +344,7 @@ def test_two_terms_make_a_subject(spark):
 def test_held_out_labels(spark):
     """Calibrated on the even labelled documents, judged on the odd ones."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/doc_subjects.parquet").unionByName(spark.read.parquet("/root/testdata/sf0.01/doc_subjects.parquet").limit(0))
+    labels = spark.read.parquet("/root/testdata/sf0.01/doc_subjects.parquet")
     found = {tuple(r) for r in subjects.subjects_of(docs, "doc_id", "text", labels.filter("doc_id % 2 = 0")).select("doc_id", "subject").collect()}
     held = {tuple(r) for r in labels.filter("doc_id % 2 = 1").collect()}
     ids = {d for d, _ in held}
@@ -353,8 +352,52 @@ def test_held_out_labels(spark):
     assert len(said & held) / max(1, len(said)) > 0.9 and len(said & held) / max(1, len(held)) > 0.9
 
 
+# Written after the term lists by the same hand, but from no table: a sentence a subject and language, and some about none.
+UNSEEN = [
+    ("cooking", "Fry the onion with garlic and cinnamon, then let it simmer with a tablespoon of flour."), ("cooking", "Steg løget på stegepanden og smag til med timian og persille."),
+    ("cooking", "Das Rezept verlangt zwei Esslöffel Sahne, Zimt und eine heiße Bratpfanne."), ("cooking", "Faites mijoter les lentilles avec du thym et une cuillère à soupe d'huile."),
+    ("finance", "The broker warned that inflation would eat the dividend of most shareholders."), ("finance", "Regnskabet viser en konkurs, og hver kreditor mister sin opsparingskonto."),
+    ("finance", "Die Bilanz zeigt, dass Inflation und Einkommensteuer den Nettogewinn mindern."), ("finance", "La faillite inquiète chaque créancier, car la trésorerie est vide."),
+    ("law", "The prosecutor read the indictment before the jury heard any testimony."), ("law", "Anklageren henviste til straffeloven, men forsvareren krævede en ny kendelse."),
+    ("law", "Der Staatsanwalt verlas die Anklageschrift, dann sprach der Verteidiger."), ("law", "Le procureur cite le code pénal et l'avocat commence sa plaidoirie."),
+    ("medicine", "The paediatrician prescribed an antibiotic after the ultrasound."), ("medicine", "Patienten fik insulin mod sin sukkersyge og blev målt for blodtryk."),
+    ("medicine", "Nach der Narkose prüfte die Pflegerin den Blutdruck und gab Insulin."), ("medicine", "Le chirurgien posa le scalpel et vérifia l'anesthésie."),
+    ("science", "Every isotope was measured by how fast its electron shells decayed near the catalyst."), ("science", "Astrofysik forklarer, hvordan en supernova former en stjernetåge."),
+    ("science", "Das Teleskop zeigte eine Supernova in der fernen Galaxie."), ("science", "Le catalyseur agit sur la molécule pendant la photosynthèse."),
+    ("software", "The unit test failed with a stack trace, so the deployment was stopped."), ("software", "Programmeringssproget har en compiler, og hver enhedstest kører på en webserver."),
+    ("software", "Das Betriebssystem meldet Schadsoftware und eine Fehlermeldung im Quellcode."), ("software", "Le serveur web et la base de données tournent sous ce système d'exploitation."),
+    ("sport", "The midfielder was offside in the quarter-final of the world cup."), ("sport", "Målmanden reddede i anden halvleg, og håndbold blev aftenens vinder."),
+    ("sport", "Im Viertelfinale traf die Stürmerin kurz nach der Halbzeit."), ("sport", "La nageuse prépare le championnat, le gymnaste la coupe du monde."),
+    ("transport", "A lorry blocked the roundabout and the tram had to wait in the traffic jam."), ("transport", "Godstoget holdt ved banegården, mens pendlere ventede på metrolinjen."),
+    ("transport", "Der Güterzug fährt vom Hafen zum Bahnhof, der Lieferwagen steht im Verkehrsstau."), ("transport", "Le tramway relie l'aéroport au rond-point sans embouteillage."),
+    (None, "She sat by the window and thought about her sister's letter."), (None, "Hun lagde nøglen på bordet og gik en tur."), (None, "Er kam spät nach Hause und las ein Buch."),
+    (None, "Nous avons parlé longtemps de la pluie et du beau temps."), (None, "The bank of the river was steep, and the court of the castle lay in the sun."),
+]
+
+
+def test_texts_whose_words_were_not_seen(spark):
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(UNSEEN)], "doc_id bigint, text string")
+    found = {tuple(r) for r in subjects.subjects_of(df, "doc_id", "text").select("doc_id", "subject").collect()}
+    true = {(i, s) for i, (s, _) in enumerate(UNSEEN) if s}
+    precision, recall = len(found & true) / len(found), len(found & true) / len(true)
+    print(f"unseen texts: precision {precision:.2f}, recall {recall:.2f}")
+    assert precision > 0.95 and recall > 0.6
+
+
+def test_weights_decide_and_not_the_number_of_terms(spark):
+    texts = ["the bank and its shares: a bond, an account, a charge of interest", "a tribunal in the court", "the tribunal heard a plaintiff", "the tribunal heard a plaintiff " + "and so on " * 40_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    scores = subjects.scored(subjects.match_terms(df, "doc_id", "text"), "doc_id")
+    listed = {r["doc_id"] for r in scores.filter("n_terms >= 2").collect()}
+    assert listed == {0, 1, 2, 3}
+    assert {r["doc_id"] for r in subjects.subjects_of(df, "doc_id", "text").collect()} == {2, 3}
+    # with the length normalisation on, two terms among 120,000 words say little
+    assert {r["doc_id"] for r in scores.filter(subjects.score(0.2) > 1.2).collect()} == {2}
+
+
 def test_frame_of_terms_is_clean():
     table = subjects.term_table()
     assert {s for s, _ in table.values()} == set(subjects.TERMS)
-    assert not {"bank", "court", "trial", "charge", "cell", "board", "table", "key", "letter"} & set(table)
-    assert isinstance(pd.Series(table), pd.Series)
+    weak = {w for w, (_, term) in table.items() if term.startswith("~")}
+    assert {"bank", "court", "trial", "charge", "cell"} <= weak and not {"board", "letter"} & set(table)
+    assert not [w for w in table if w in weak and table[w][1] != f"~{w}"]
