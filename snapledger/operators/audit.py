@@ -120,6 +120,30 @@ def ulid_bounds(df: DataFrame, ulid: str, expected: int) -> DataFrame:
     )
 
 
+def beyond_frontier(df: DataFrame, known: DataFrame, ulid: str) -> DataFrame:
+    """Rows whose ulid is above every known one; all rows if none is known.
+
+    One value is broadcast; ulids are compared in upper case, texts of a null count for nothing.
+    """
+    top = known.agg(F.max(F.upper(clean(ulid))).alias("__top"))
+    joined = df.withColumn("__one", F.lit(1)).join(F.broadcast(top.withColumn("__one", F.lit(1))), "__one")
+    return joined.filter(F.col("__top").isNull() | (F.upper(clean(ulid)) > F.col("__top"))).select(*df.columns)
+
+
+def head_tail_pages(novelty: DataFrame, page: str, new_keys: str, streak: int) -> DataFrame:
+    """One row: pages with new keys at the head (before the first ``streak`` known pages in a row) and behind it.
+
+    ``head_end`` is the first page of that run, or one past the last page; ``probe_needed`` says whether new
+    keys lie behind it, so that the scan has to go on.
+    """
+    runs = known_streaks(novelty, page, new_keys).filter(F.col("pages") >= streak).agg(F.min("first_page").alias("run"))
+    last = novelty.agg((F.max(page) + 1).alias("past"))
+    end = runs.withColumn("__j", F.lit(1)).join(last.withColumn("__j", F.lit(1)), "__j").select("__j", F.coalesce("run", "past").alias("head_end"))
+    rows = novelty.withColumn("__j", F.lit(1)).join(F.broadcast(end), "__j").filter(F.col(new_keys) > 0)
+    counts = rows.agg(F.count_if(F.col(page) < F.col("head_end")).alias("head_pages"), F.count_if(F.col(page) >= F.col("head_end")).alias("tail_pages"))
+    return end.join(counts.withColumn("__j", F.lit(1)), "__j").select("head_end", "head_pages", "tail_pages", (F.col("tail_pages") > 0).alias("probe_needed"))
+
+
 def column_drift(old: dict[str, Sequence[str]], new: dict[str, Sequence[str]]) -> dict[str, dict[str, list[str]]]:
     """Added and removed columns per table, from two descriptions of the same tables."""
     out = {}

@@ -72,16 +72,27 @@ def with_keys(df: DataFrame, spec: CdcSpec) -> DataFrame:
 
 
 def one_per_key(keyed: DataFrame) -> DataFrame:
-    """Exact copies removed, then the row with the lowest (hash, variant) of each key; rows without a key all stay."""
-    distinct = keyed.dropDuplicates()
-    w = Window.partitionBy("BUSINESS_KEY").orderBy(F.col("ROW_HASH").asc_nulls_last(), F.col("ENTITY_VARIANT_KEY").asc_nulls_last())
-    first = distinct.filter("NOT KEY_MISSING_FLAG").withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
-    return first.unionByName(distinct.filter("KEY_MISSING_FLAG"))
+    """The row with the lowest (hash, variant) of each key, as a combinable minimum; rows without a key stay, but exact copies of one."""
+    rest = [c for c in keyed.columns if c not in ("BUSINESS_KEY", "ROW_HASH", "ENTITY_VARIANT_KEY", "KEY_MISSING_FLAG")]
+    order = F.struct(F.col("ROW_HASH").isNull(), "ROW_HASH", F.col("ENTITY_VARIANT_KEY").isNull(), "ENTITY_VARIANT_KEY", *rest)
+    first = keyed.filter("NOT KEY_MISSING_FLAG").groupBy("BUSINESS_KEY").agg(F.min_by(F.struct(*keyed.columns), order).alias("r")).select("r.*")
+    return first.unionByName(keyed.filter("KEY_MISSING_FLAG").dropDuplicates())
+
+
+def duplicate_groups(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The key and ``n`` of groups with more than one row."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def duplicate_keys(keyed: DataFrame) -> DataFrame:
     """``BUSINESS_KEY, n`` of keys with more than one distinct row."""
-    return keyed.filter("NOT KEY_MISSING_FLAG").dropDuplicates().groupBy("BUSINESS_KEY").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return duplicate_groups(keyed.filter("NOT KEY_MISSING_FLAG").dropDuplicates(), ["BUSINESS_KEY"])
+
+
+def latest_rows(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """Each key's row that is greatest in ``order`` (NULL lowest), as a combinable maximum; rows without a key are left out."""
+    best = F.max_by(F.struct(*df.columns), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+    return df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(best.alias("r")).select("r.*")
 
 
 def previous_state(prev: DataFrame, spec: CdcSpec) -> DataFrame:
@@ -90,8 +101,10 @@ def previous_state(prev: DataFrame, spec: CdcSpec) -> DataFrame:
     built = {n: F.coalesce(F.col(have[n]), c) if n in have else c for n, c in _built_keys(prev, spec).items()}
     days = {n: F.col(have[n]) if n in have else F.lit(None).cast("string") for n in ("FIRST_SEEN_DATE", "LAST_SEEN_DATE")}
     rows = prev.select(*source_columns(prev), *[c.alias(n) for n, c in (built | days).items()])
-    w = Window.partitionBy("BUSINESS_KEY").orderBy(F.col("LAST_SEEN_DATE").desc_nulls_last(), F.col("ROW_HASH").asc_nulls_last())
-    return rows.filter("BUSINESS_KEY IS NOT NULL").withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    # of equal days the row of the lowest hash, so the day goes first and then a combinable minimum
+    lowest = F.min_by(F.struct(*rows.columns), F.struct(F.col("ROW_HASH").isNull(), "ROW_HASH", "ENTITY_VARIANT_KEY"))
+    newest = rows.filter("BUSINESS_KEY IS NOT NULL").groupBy("BUSINESS_KEY", "LAST_SEEN_DATE").agg(lowest.alias("r")).select("r.*")
+    return latest_rows(newest, "BUSINESS_KEY", [F.col("LAST_SEEN_DATE")])
 
 
 def comparable(cur: DataFrame, prev: DataFrame) -> bool:
@@ -182,6 +195,19 @@ def run_statistics(compared: DataFrame) -> DataFrame:
     return compared.groupBy("CHANGE_TYPE").agg(F.count(F.lit(1)).alias("n"))
 
 
+def run_report(cur: DataFrame, compared: DataFrame, spec: CdcSpec, first_run: bool) -> DataFrame:
+    """One row: rows read, keys that came more than once, rows without a key, state rows and events to append."""
+    keyed = with_keys(cur, spec)
+    read = keyed.agg(F.count(F.lit(1)).alias("source_rows"), F.count_if("KEY_MISSING_FLAG").alias("key_missing_rows"))
+    twice = duplicate_groups(keyed.filter("NOT KEY_MISSING_FLAG"), ["BUSINESS_KEY"]).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+    kept = compared.agg(F.count(F.lit(1)).alias("state_rows"))
+    events = events_of(compared, first_run).agg(F.count(F.lit(1)).alias("appended_events"))
+    out = read.withColumn("__j", F.lit(1))
+    for one in (twice, kept, events):  # one row each
+        out = out.join(F.broadcast(one.withColumn("__j", F.lit(1))), "__j")
+    return out.drop("__j")
+
+
 def first_seen_history(pages: DataFrame, history: DataFrame, hash_col: str, day: str) -> DataFrame:
     """Page rows tagged NEW or UNCHANGED by whether their hash was seen before, with the first day carried over."""
     seen = history.filter(F.col(hash_col).isNotNull()).groupBy(hash_col).agg(F.min("FIRST_SEEN_DATE").alias("__first"))

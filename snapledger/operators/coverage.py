@@ -40,6 +40,18 @@ def samples(left: DataFrame, right: DataFrame, n: int) -> DataFrame:
     return out
 
 
+def sample_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in an order, all for -1, none for 0: a report that is the same at every run."""
+    return df.orderBy(*order) if n < 0 else df.orderBy(*order).limit(n)
+
+
+def missing_rows(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, n: int = 1000) -> DataFrame:
+    """Whole rows of ``left`` whose key ``right`` lacks, the first ``n`` by key then content, with ``key_value`` before them."""
+    keyed = left.select(left_key.cast("string").alias("key_value"), *left.columns).filter(~is_missing("key_value"))
+    alone = keyed.join(key_set(right, right_key), "key_value", "left_anti")
+    return sample_rows(alone, ["key_value", *left.columns], n)
+
+
 def presence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name, present_rows, total_rows`` of non-missing values, all columns in one pass."""
     one = df.agg(F.count(F.lit(1)).alias("total_rows"), *[F.count_if(~is_missing(F.col(f"`{c}`").cast("string"))).alias(c) for c in columns])

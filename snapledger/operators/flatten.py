@@ -120,7 +120,7 @@ DEVICE_LIST_KINDS = dict.fromkeys(("latestVersion", "sterile", "multiComponent")
     ("versionNumber", "basicUdiDataVersionNumber", "containerPackageCount"), "bigint"
 )
 ACTOR_LIST = (
-    "uuid ulid@ registrationUlid@ srn registryIdentifier name names& actorType.code actorType.srnCode actorType.category "
+    "uuid ulid@ registrationUlid@ srn {identifier}>registry_identifier name names& actorType.code actorType.srnCode actorType.category "
     "actorStatus.code actorStatusFromDate roleName countryIso2Code countryName countryType dateOfRegistration electronicMail telephone "
     "geographicalAddress buildingNumber streetName postbox addressComplement postalZone cityName abbreviatedName abbreviatedNames& latestVersion "
     "versionNumber associatedToUser legislationLinks& selectable actorValidated nbStatus"
@@ -131,7 +131,7 @@ ACTOR_LIST_KINDS = dict.fromkeys(("latestVersion", "associatedToUser", "selectab
 ADDRESS = "streetName streetInfoApplicable buildingNumber complement postbox gps postalZone cityName"
 ACTOR_DETAIL_GROUPS = {
     ("actorDataPublicView", ""): (
-        "uuid ulid@ registryIdentifier>srn registryIdentifier>registry_identifier name$ name&>names_json abbreviatedName$ type.code>actor_type_code type.srnCode>actor_type_srn_code "
+        "uuid ulid@ {identifier}>srn {identifier}>registry_identifier name$ name&>names_json abbreviatedName$ type.code>actor_type_code type.srnCode>actor_type_srn_code "
         "type.category>actor_type_category actorStatus.code actorStatusFromDate country.iso2Code country.name country.type "
         "country.nonEUMemberState>country_non_eu_member_state europeanVatNumberApplicable europeanVatNumber tradeRegister eori telephone electronicMail "
         "website latestVersion versionNumber versionState.code lastUpdateDate lastAccuracyDate competentAuthorityResponsibility latestSubsidiary "
@@ -170,6 +170,25 @@ DEVICE_DETAIL_GROUPS = {
 }
 
 
+def actor_list(identifier: str) -> list[str]:
+    """Layout of an actor list row; ``identifier`` is the JSON key under which the source writes its own identifier."""
+    return [e.replace("{identifier}", identifier) for e in ACTOR_LIST]
+
+
+def actor_detail(identifier: str) -> list[str]:
+    """Layout of an actor's detail answer, its own identifier read from the JSON key ``identifier``."""
+    return grouped_layout({at: text.replace("{identifier}", identifier) for at, text in ACTOR_DETAIL_GROUPS.items()})
+
+
+def explode_entries(df: DataFrame, body: str, path: str, entry: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep...`` and the fields of each entry of a JSON list at ``path`` (``$`` is the whole text); no entries, no rows.
+
+    ``entry`` is the type of one, as in ``struct<a:string,b:bigint>``.
+    """
+    text = F.col(body) if path == "$" else F.get_json_object(F.col(body), path)
+    return df.select(*keep, F.explode(F.from_json(text, f"array<{entry}>")).alias("__e")).select(*keep, "__e.*")
+
+
 def with_path(layout: Sequence[str], names: dict[str, str]) -> list[str]:
     """The layout reading other JSON keys: ``names`` maps a path's last key to the one a source writes.
 

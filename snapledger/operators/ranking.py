@@ -83,3 +83,13 @@ def metric_star(base: DataFrame, key: str, parts: Sequence[DataFrame], zero: Seq
 def distribution(df: DataFrame, category: str) -> DataFrame:
     """Rows per category; NULL is a category."""
     return df.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
+
+
+def ladder_span(counts: DataFrame, group: str, ladder: Mapping[str, str]) -> DataFrame:
+    """``group, newest, oldest``: the first and the last rung of a ladder (label to count column, newest first) with a count above 0."""
+    rungs = [(label, F.col(c) > 0) for label, c in ladder.items()]
+
+    def first(of: Sequence[tuple[str, Column]]) -> Column:
+        return F.coalesce(*[F.when(held, F.lit(label)) for label, held in of])
+
+    return counts.select(group, first(rungs).alias("newest"), first(rungs[::-1]).alias("oldest"))

@@ -101,14 +101,14 @@ def apply_results(queue: DataFrame, results: DataFrame, key: str, at: str) -> Da
 
     Attempted rows become done, or failed (which a resumed run takes up again) with their error.
     """
-    last = results.groupBy(key).agg(F.max_by(F.struct("ok", "status_code", "error"), F.struct(F.col("ok").cast("int"), "status_code")).alias("r"), F.count(F.lit(1)).alias("k"))
+    last = results.groupBy(key).agg(F.max_by(F.struct("ok", "status_code", "error"), F.struct(F.col("ok").cast("int"), "status_code")).alias("__r"), F.count(F.lit(1)).alias("__tries"))
     rows = queue.join(last, key, "left")
-    tried = F.col("r").isNotNull()
+    tried = F.col("__r").isNotNull()
     return rows.select(
         *[c for c in queue.columns if c not in ("status", "attempt_count")],
-        F.when(tried & F.col("r.ok"), "done").when(tried, "failed").otherwise(F.col("status")).alias("status"),
-        (F.col("attempt_count") + F.coalesce("k", F.lit(0))).cast("bigint").alias("attempt_count"),
-        F.col("r.status_code").alias("last_status_code"), F.col("r.error").alias("last_error"), F.when(tried, F.lit(at)).alias("last_attempt_at_utc"),
+        F.when(tried & F.col("__r.ok"), "done").when(tried, "failed").otherwise(F.col("status")).alias("status"),
+        (F.col("attempt_count") + F.coalesce("__tries", F.lit(0))).cast("bigint").alias("attempt_count"),
+        F.col("__r.status_code").alias("last_status_code"), F.col("__r.error").alias("last_error"), F.when(tried, F.lit(at)).alias("last_attempt_at_utc"),
     )
 
 

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean, code_key, day_of, normalise_id, uuid_key
-from ..operators import ranking, relations
+from ..operators import cdc, ranking, relations
+from ..operators.audit import COMPLETE
+from ..operators.cdc import CdcSpec
+from ..sources.snapshots import SnapshotStore
 from ..sources.tables import table
 from .general import dd, nn, uu
 from .registry import query
@@ -112,3 +115,30 @@ def risk_distribution(spark: SparkSession, d: str) -> DataFrame:
     rows = _devices(spark, d)
     last, _ = _last_two(rows)
     return rows.filter(F.col("day") == F.lit(last)).groupBy("risk", "law").agg(F.count_distinct("uuid").alias("devices"))
+
+
+_SPEC = CdcSpec(key=["uuid"], changes=[("UPDATED_RISK", ["risk"]), ("UPDATED_LAW", ["law"])])
+_H = "md5(concat_ws('|', coalesce(law,''), coalesce(mf,''), coalesce(risk,''), uuid))"
+
+
+@query(
+    "cdc_snapshots",
+    _D + f""", h1 AS (SELECT DISTINCT uuid, mf, risk, law, {_H} h FROM c), h2 AS (SELECT DISTINCT uuid, mf, risk, law, {_H} h FROM p),
+c1 AS (SELECT * FROM h1 QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY h) = 1), p1 AS (SELECT * FROM h2 QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY h) = 1)
+SELECT CASE WHEN c1.uuid IS NULL THEN 'REMOVED' WHEN p1.uuid IS NULL THEN 'NEW' WHEN c1.h = p1.h THEN 'UNCHANGED' WHEN c1.risk IS DISTINCT FROM p1.risk THEN 'UPDATED_RISK'
+ WHEN c1.law IS DISTINCT FROM p1.law THEN 'UPDATED_LAW' ELSE 'UPDATED' END change_type, count(*)::BIGINT n FROM c1 FULL JOIN p1 ON c1.uuid = p1.uuid GROUP BY 1""",
+)
+def cdc_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """The last snapshot of the change log against the one before, by the registry's own comparison."""
+    rows = _devices(spark, d).select("day", "uuid", "mf", "risk", "law")
+    last, before = _last_two(rows)
+    now, old = (rows.filter(F.col("day") == F.lit(at)).drop("day") for at in (last, before))
+    state = cdc.one_per_key(cdc.with_keys(old, _SPEC)).withColumns({"FIRST_SEEN_DATE": F.lit(before), "LAST_SEEN_DATE": F.lit(before)})
+    return cdc.run_statistics(cdc.compare(now, state, _SPEC, last or "", removed=True)).withColumnRenamed("CHANGE_TYPE", "change_type")
+
+
+def build_marts(spark: SparkSession, d: str, store: SnapshotStore, version: str) -> list[str]:
+    """All marts of the tables in ``d`` as one version of ``store``: readers see all of them or none."""
+    marts = {"actors": actor_mart, "devices": device_mart, "change_events": change_event_mart, "risk_distribution": risk_distribution}
+    store.commit(version, {name: fn(spark, d) for name, fn in marts.items()}, COMPLETE)
+    return sorted(marts)

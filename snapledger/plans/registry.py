@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import clean, is_missing, labelled_key, normalise_id, row_hash, ulid_millis
 from ..operators import audit, cdc, coverage, flatten, merge, ranking, relations, versions
 from ..operators.cdc import CdcSpec
+from ..session import ship
+from ..sources import loopback, paged
 from ..sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,7 +174,7 @@ def key_missing_rows(spark: SparkSession, d: str) -> DataFrame:
     "SELECT l_orderkey, l_linenumber, count(*)::BIGINT n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
 )
 def duplicate_key_groups(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return cdc.duplicate_groups(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query(
@@ -192,8 +194,8 @@ def dedupe_first_by_hash(spark: SparkSession, d: str) -> DataFrame:
     "SELECT user_id, event_id, event_type FROM events WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) = 1",
 )
 def latest_previous_row(spark: SparkSession, d: str) -> DataFrame:
-    best = F.max_by(F.struct("event_id", "event_type"), F.struct("ts", -F.col("event_id"))).alias("r")
-    return table(spark, d, "events").filter("user_id IS NOT NULL").groupBy("user_id").agg(best).select("user_id", "r.*")
+    events = table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
+    return cdc.latest_rows(events, "user_id", [F.col("ts"), -F.col("event_id")]).drop("ts")
 
 
 @query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem")
@@ -478,10 +480,9 @@ round(n::DOUBLE / nullif(r + n + a, 0)::DOUBLE, 4) middle_ratio FROM c""",
 )
 def span_newest_oldest(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "lineitem").groupBy("l_suppkey").agg(*[ranking.flag_sum(F.col("l_returnflag") == f).alias(f.lower()) for f in "RNA"])
-    newest = F.when(F.col("r") > 0, "R").when(F.col("n") > 0, "N").when(F.col("a") > 0, "A")
-    oldest = F.when(F.col("a") > 0, "A").when(F.col("n") > 0, "N").when(F.col("r") > 0, "R")
     ratio = F.round(F.try_divide(F.col("n").cast("double"), (F.col("r") + F.col("n") + F.col("a")).cast("double")), 4)
-    return c.select("l_suppkey", newest.alias("newest"), oldest.alias("oldest"), ratio.alias("middle_ratio"))
+    span = ranking.ladder_span(c, "l_suppkey", {"R": "r", "N": "n", "A": "a"})
+    return ranking.metric_star(span, "l_suppkey", [c.select("l_suppkey", ratio.alias("middle_ratio"))])
 
 
 @query(
@@ -560,6 +561,64 @@ def column_presence(spark: SparkSession, d: str) -> DataFrame:
     return coverage.presence(table(spark, d, "documents"), ["doc_id", "lang", "source", "n_chars", "bundle_id"])
 
 
+@query(
+    "coverage_missing_rows",
+    "SELECT o.o_custkey::VARCHAR key_value, o.o_custkey, o.o_orderkey, o.o_orderstatus FROM orders o WHERE o.o_custkey::VARCHAR NOT IN (SELECT c_custkey::VARCHAR FROM customer WHERE c_nationkey <> 3) ORDER BY 1, 2, 3, 4 LIMIT 1000",
+)
+def coverage_missing_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Whole orders of customers the other side lacks (those of one nation): the first thousand, a sample report."""
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return coverage.missing_rows(orders, table(spark, d, "customer").filter("c_nationkey <> 3"), F.col("o_custkey"), F.col("c_custkey"))
+
+
+@query(
+    "cdc_run_report",
+    _CDC + """SELECT (SELECT count(*) FROM cur)::BIGINT source_rows, 0::BIGINT key_missing_rows, (SELECT count(*) FROM (SELECT o_orderkey FROM cur GROUP BY 1 HAVING count(*) > 1))::BIGINT duplicate_keys,
+(SELECT count(*) FROM j)::BIGINT state_rows, (SELECT count(*) FROM j WHERE ct <> 'UNCHANGED')::BIGINT appended_events""",
+)
+def cdc_run_report(spark: SparkSession, d: str) -> DataFrame:
+    return cdc.run_report(_cur(spark, d), _compared(spark, d), SPEC, first_run=False)
+
+
+# --------------------------------------------------------------------------- extracts
+
+LOOP = "snapledger.sources.loopback:serve"
+
+
+def _unfolded(pages: DataFrame, path: str) -> DataFrame:
+    return flatten.explode_entries(pages.filter("error IS NULL"), "body", path, "struct<id:bigint>", ["label", "page"])
+
+
+@query("offset_page_scan", "SELECT 'pages' AS label, i // 40 page, i id FROM range(1000) t(i)")
+def offset_page_scan(spark: SparkSession, d: str) -> DataFrame:  # noqa: ARG001
+    """A thousand records by pages of forty, several partitions at a time, through the loopback transport."""
+    spark.dataSource.register(paged.PagedSource)
+    ship(spark)
+    found = paged.discover(loopback.serve, "loop://offset/1000/40")
+    pages = spark.read.format("paged").options(transport=LOOP, url="loop://offset/1000/40", mode="offset", pages=str(found["total_pages"]), pagesPerPartition="7").load()
+    return _unfolded(pages, "$.content")
+
+
+@query("next_link_scan", "SELECT l AS label, i // 30 page, i id FROM range(200) t(i), (VALUES ('risk=1'), ('risk=2 law=9')) p(l)")
+def next_link_scan(spark: SparkSession, d: str) -> DataFrame:  # noqa: ARG001
+    """Two planned partitions, each followed along its next links."""
+    spark.dataSource.register(paged.PagedSource)
+    ship(spark)
+    plan = '[{"risk": 1}, {"risk": 2, "law": 9}]'
+    return _unfolded(spark.read.format("paged").options(transport=LOOP, url="loop://next/200/30", partitions=plan).load(), "$.value")
+
+
+@query(
+    "key_lookup_scan",
+    """SELECT s_suppkey::VARCHAR "key", CASE WHEN s_suppkey % 7 = 0 THEN 404 WHEN s_suppkey % 11 = 0 THEN 403 ELSE 200 END::BIGINT status,
+CASE WHEN s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 THEN NULL ELSE s_suppkey * s_suppkey END::BIGINT square, CASE WHEN s_suppkey % 7 = 0 THEN 'status 404' WHEN s_suppkey % 11 = 0 THEN 'refused' END error FROM supplier""",
+)
+def key_lookup_scan(spark: SparkSession, d: str) -> DataFrame:
+    """One request for each supplier key; what fails comes back as an error row."""
+    got = paged.lookup(table(spark, d, "supplier"), "s_suppkey", LOOP, "loop://key/{key}?deny=1")
+    return got.select("key", "status", F.get_json_object("body", "$.square").cast("bigint").alias("square"), "error")
+
+
 # --------------------------------------------------------------------------- audits
 
 
@@ -586,17 +645,30 @@ def page_audit_diag(spark: SparkSession, d: str) -> DataFrame:
     return audit.page_diagnostics(_paged(spark, d), "page", "user_id")
 
 
+_NOVEL = """WITH n AS (SELECT event_id // 50 page, count(DISTINCT CASE WHEN user_id = 7 THEN user_id END) nk FROM events GROUP BY 1),
+g AS (SELECT page, page - row_number() OVER (ORDER BY page) g FROM n WHERE nk = 0), r AS (SELECT min(page) first_page, max(page) last_page, count(*)::BIGINT pages FROM g GROUP BY g)
+"""
+
+
+def _novelty(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of fifty events; all users but one are known."""
+    events = table(spark, d, "events")
+    return audit.page_novelty(events.withColumn("page", F.floor(F.col("event_id") / 50)), events.filter("user_id <> 7"), "page", "user_id")
+
+
+@query("known_page_streak", _NOVEL + "SELECT * FROM r")
+def known_page_streak(spark: SparkSession, d: str) -> DataFrame:
+    return audit.known_streaks(_novelty(spark, d), "page", "new_keys")
+
+
 @query(
-    "known_page_streak",
-    f"""WITH p AS (SELECT page, user_id FROM ({_PAGED})), k AS (SELECT DISTINCT user_id FROM events WHERE user_id % 40 <> 7),
-n AS (SELECT page, count(DISTINCT CASE WHEN user_id NOT IN (SELECT user_id FROM k) THEN user_id END) nk FROM p GROUP BY 1),
-g AS (SELECT page, page - row_number() OVER (ORDER BY page) g FROM n WHERE nk = 0)
-SELECT min(page) first_page, max(page) last_page, count(*)::BIGINT pages FROM g GROUP BY g""",
+    "head_tail_pages",
+    _NOVEL + """, e AS (SELECT coalesce((SELECT min(first_page) FROM r WHERE pages >= 5), (SELECT max(page) + 1 FROM n)) head_end)
+SELECT any_value(head_end) head_end, count(*) FILTER (nk > 0 AND page < head_end)::BIGINT head_pages, count(*) FILTER (nk > 0 AND page >= head_end)::BIGINT tail_pages, count(*) FILTER (nk > 0 AND page >= head_end) > 0 probe_needed FROM n, e""",
 )
-def known_page_streak(spark: SparkSession, d: str) -> DataFrame:
-    known = table(spark, d, "events").filter("user_id % 40 <> 7")
-    novelty = audit.page_novelty(_paged(spark, d), known, "page", "user_id")
-    return audit.known_streaks(novelty, "page", "new_keys")
+def head_tail_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Where a scan for new keys may stop after five known pages, and whether it must probe behind them."""
+    return audit.head_tail_pages(_novelty(spark, d), "page", "new_keys", 5)
 
 
 _ENC = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
@@ -610,11 +682,13 @@ def _ulids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", text.alias("ulid"))
 
 
-@query("ulid_frontier", f"WITH u AS (SELECT event_id, {_ULID_SQL} ulid FROM events), m AS (SELECT max(ulid) f FROM u WHERE event_id % 3 = 0 AND event_id < 700) SELECT event_id, ulid FROM u, m WHERE ulid > f")
+@query("ulid_frontier", f"WITH u AS (SELECT event_id, {_ULID_SQL} ulid, ts FROM events), m AS (SELECT max(ulid) f FROM u WHERE ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM u) AND event_id <= (SELECT avg(event_id) FROM u)) SELECT event_id, ulid FROM u, m WHERE ulid > f OR f IS NULL")
 def ulid_frontier(spark: SparkSession, d: str) -> DataFrame:
-    u = _ulids(spark, d)
-    frontier = u.filter("event_id % 3 = 0 AND event_id < 700").agg(F.max(clean("ulid")).alias("f")).first()["f"]
-    return u.filter(F.col("ulid") > F.lit(frontier)) if frontier else u
+    """What is new since the extract at half time, which had the first half of the ids."""
+    u, events = _ulids(spark, d), table(spark, d, "events")
+    half = events.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("at"), F.avg("event_id").alias("mid"))
+    known = u.join(events.select("event_id", "ts"), "event_id").join(F.broadcast(half), (F.col("ts") < F.col("at")) & (F.col("event_id") <= F.col("mid")))
+    return audit.beyond_frontier(u, known, "ulid")
 
 
 @query("ulid_decode", f"SELECT event_id, {_ULID_SQL} ulid, {_MS}::BIGINT ms FROM events")
@@ -630,9 +704,8 @@ def json_flatten(spark: SparkSession, d: str) -> DataFrame:
 @query("json_explode", "SELECT o_custkey, o_orderkey, o_orderpriority FROM orders WHERE o_custkey IS NOT NULL")
 def json_explode(spark: SparkSession, d: str) -> DataFrame:
     """Orders of a customer as a JSON list and back, one row per entry."""
-    entry = "array<struct<o_orderkey:bigint,o_orderpriority:string>>"
     packed = table(spark, d, "orders").filter("o_custkey IS NOT NULL").groupBy("o_custkey").agg(F.to_json(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("j"))
-    return packed.select("o_custkey", F.explode(F.from_json("j", entry)).alias("e")).select("o_custkey", "e.*")
+    return flatten.explode_entries(packed, "j", "$", "struct<o_orderkey:bigint,o_orderpriority:string>", ["o_custkey"])
 
 
 @query("trace_partition_rollup", "SELECT event_type, count(*)::BIGINT pages, coalesce(sum(event_id % 300), 0)::BIGINT rows_returned, min(ts) first_page_at, max(ts) last_page_at, count(*) FILTER (value > 50)::BIGINT error_pages FROM events GROUP BY 1")

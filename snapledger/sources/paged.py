@@ -20,8 +20,13 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..session import ship
+
 SCHEMA = "label string, page bigint, url string, status bigint, body string, next_link string, n_rows bigint, duration_ms bigint, attempts bigint, error string"
 
 Transport = Callable[[str, Mapping[str, Any]], tuple[int, str, float | None]]
@@ -41,6 +46,12 @@ class RetryPolicy:
     def passing(status: int) -> bool:
         return status == 429 or status >= 500
 
+    @staticmethod
+    def refused(status: int, body: str | None) -> bool:
+        """A filter's page of refusal, whatever its status says: asking again does not help."""
+        text = (body or "")[:4096].lower()
+        return status != 200 and ("access denied" in text or "web filter" in text)
+
 
 @dataclass
 class FetchResult:
@@ -57,6 +68,8 @@ def fetch(transport: Transport, url: str, params: Mapping[str, Any], policy: Ret
         after: float | None = None
         try:
             status, body, after = transport(url, params)
+            if policy.refused(status, body):
+                return FetchResult(status, body, attempt, "refused")
             if status == 200 or not policy.passing(status):
                 return FetchResult(status, body, attempt, None if status == 200 else f"status {status}")
             error = f"status {status}"
@@ -84,6 +97,30 @@ class RateLimiter:
         self.next = now + self.gap
 
 
+@dataclass
+class Caps:
+    """When a run stops asking: after so many records, seconds, 429 answers or failures (0: no cap).
+
+    What was not asked for is reported as such, so a resumed run takes it up; nothing is lost.
+    """
+
+    records: int = 0
+    seconds: float = 0.0
+    rate_limited: int = 0
+    failures: int = 0
+
+    def reached(self, records: int, seconds: float, rate_limited: int, failures: int) -> str | None:
+        for name, cap, now in (("records", self.records, records), ("seconds", self.seconds, seconds), ("rate_limited", self.rate_limited, rate_limited), ("failures", self.failures, failures)):
+            if cap and now >= cap:
+                return name
+        return None
+
+    def shared(self, parts: int) -> Caps:
+        """One partition's part: executors share no counter, so counts are split; time is the same for all."""
+        split = lambda n: -(-n // parts) if n else 0
+        return Caps(split(self.records), self.seconds, split(self.rate_limited), split(self.failures))
+
+
 # --------------------------------------------------------------------------- planning
 
 
@@ -218,3 +255,40 @@ def discover(transport: Transport, url: str, policy: RetryPolicy | None = None)
         return next((doc[n] for n in names if doc.get(n) is not None), None)
 
     return {"total_elements": first("totalElements", "total", "count"), "total_pages": first("totalPages", "pages"), "error": got.error}
+
+
+# --------------------------------------------------------------------------- lookups
+
+LOOKUP = "key string, url string, status bigint, body string, n_rows bigint, duration_ms bigint, attempts bigint, error string"
+
+
+def lookup(keys: DataFrame, key: str, transport: str, url: str, *, policy: RetryPolicy | None = None, per_second: float = 0.0, parallel: int = 4, caps: Caps | None = None) -> DataFrame:
+    """One request per distinct key, ``url`` with ``{key}`` in it: ``key, url, status, body, ..., error``.
+
+    Keys are spread over ``parallel`` partitions, each with its part of the rate and of the caps.  A key that
+    fails gives an error row; past a cap the rest come back with status NULL and the cap's name as error.
+    Missing keys are left out, repeated ones asked for once.
+    """
+    ship(keys.sparkSession)
+    rule, limits = policy or RetryPolicy(), (caps or Caps()).shared(parallel)
+    wanted = keys.select(F.col(key).cast("string").alias("key")).filter(F.col("key").isNotNull()).distinct().repartition(parallel, "key")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ask, limiter, began = _load(transport), RateLimiter(per_second / parallel), time.monotonic()
+        records = limited = failed = 0
+        for b in batches:
+            out = []
+            for k in b["key"]:
+                at = url.replace("{key}", k)
+                stop = limits.reached(records, time.monotonic() - began, limited, failed)
+                if stop:
+                    out.append((k, at, None, None, 0, 0, 0, f"not asked: {stop}"))
+                    continue
+                limiter.wait()
+                since = time.monotonic()
+                got = fetch(ask, at, {}, rule)
+                records, limited, failed = records + 1, limited + (got.status == 429), failed + (got.error is not None)
+                out.append((k, at, got.status, got.body, int(got.error is None), int((time.monotonic() - since) * 1000), got.attempts, got.error))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in LOOKUP.split(", ")]).astype({"status": "Int64"})
+
+    return wanted.mapInPandas(run, LOOKUP)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.audit import FAILED
 from ..operators.merge import aligned, union_columns
-from .tables import get_text, path_exists, put_text
+from .tables import children, get_text, path_exists, put_text, remove_tree
 
 
 class SnapshotStore:
@@ -57,6 +57,15 @@ class SnapshotStore:
         except ValueError:
             return {}
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove all versions but the newest ``keep`` and the one the pointer names; what was removed."""
+        latest = self.latest()
+        old = [v for v in children(self.spark, f"{self.root}/snapshots") if v != latest]
+        gone = old[: max(0, len(old) - max(0, keep - (latest is not None)))]
+        for v in gone:
+            remove_tree(self.spark, f"{self.root}/snapshots/{v}")
+        return gone
+
     def append(self, name: str, df: DataFrame) -> None:
         """Append to a log whose columns may grow; readers merge the schemas."""
         df.write.mode("append").parquet(f"{self.root}/logs/{name}")

@@ -17,11 +17,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the session names none (tests, one machine) a temporary folder
-    is made and set, so that later calls find the same one.
+    Only where the session names none and runs on one machine (tests) a temporary
+    folder is made and set, so that later calls find the same one.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         local = tempfile.mkdtemp(prefix="snapledger-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
         found = f"file://{local}"
@@ -70,8 +72,10 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
     out.write(bytearray(text.encode()))
     out.close()
     _, final = _place(spark, path)
-    fs.delete(final, False)
-    fs.rename(tmp, final)
+    jvm = spark.sparkContext._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, final, over)
 
 
 def get_text(spark: SparkSession, path: str) -> str | None:
@@ -84,3 +88,16 @@ def get_text(spark: SparkSession, path: str) -> str | None:
 def remove_tree(spark: SparkSession, path: str) -> None:
     fs, p = _place(spark, path)
     fs.delete(p, True)
+
+
+def newest_path(spark: SparkSession, folder: str, pattern: str = "*") -> str | None:
+    """The entry of a folder that was written last and matches; of equally new ones the highest name."""
+    fs, p = _place(spark, f"{folder.rstrip('/')}/{pattern}")
+    found = [(s.getModificationTime(), s.getPath().toString()) for s in (fs.globStatus(p) or [])]
+    return max(found)[1] if found else None
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    fs, p = _place(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

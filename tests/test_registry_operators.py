@@ -234,9 +234,9 @@ def test_declared_layouts(spark):
     r = out.collect()
     assert (r[0]["risk_class_code"], r[0]["device_status_code"], r[0]["version_number"], r[0]["latest_version"], r[0]["sterile"]) == ("v", "plain", 3, True, None)
     assert r[0]["ulid_timestamp"] == "2024-01-01T00:00:00.000Z" and r[1]["uuid"] is None and r[2]["uuid"] is None
-    assert len(flatten.flatten_declared(df, "body", flatten.ACTOR_LIST).columns) == 38
-    own = flatten.with_path(flatten.ACTOR_LIST, {"registryIdentifier": "uuid"})
-    assert flatten.flatten_declared(df, "body", own).first()["registry_identifier"] == "u"
+    assert len(flatten.flatten_declared(df, "body", flatten.actor_list("ownId")).columns) == 38
+    assert flatten.flatten_declared(df, "body", flatten.actor_list("uuid")).first()["registry_identifier"] == "u"
+    assert flatten.flatten_declared(df, "body", flatten.with_path(["uuid"], {"uuid": "riskClass"})).first()["uuid"] is not None
 
 
 def test_detail_layouts(spark):
@@ -251,8 +251,9 @@ def test_detail_layouts(spark):
     assert r[1]["trade_name"] is None
     m = flatten.market_countries(df, "body")
     assert rows(m, "device_uuid", "country_iso2") == [("d", None), ("d", "DK"), ("d", "SE")]
-    actor = {"actorDataPublicView": {"uuid": "a", "name": {"textByDefaultLanguage": "N"}, "country": {"iso2Code": "DK"}, "actorAddress": {"complement": "2nd"}, "regulatoryComplianceResponsibles": [{"firstName": "F", "geographicalAddress": {"country": {"name": "Denmark"}}}]}}
-    a = flatten.flatten_declared(spark.createDataFrame([(json.dumps(actor),)], "body string"), "body", flatten.grouped_layout(flatten.ACTOR_DETAIL_GROUPS)).first()
+    actor = {"actorDataPublicView": {"uuid": "a", "ownId": "DK-1", "name": {"textByDefaultLanguage": "N"}, "country": {"iso2Code": "DK"}, "actorAddress": {"complement": "2nd"}, "regulatoryComplianceResponsibles": [{"firstName": "F", "geographicalAddress": {"country": {"name": "Denmark"}}}]}}
+    a = flatten.flatten_declared(spark.createDataFrame([(json.dumps(actor),)], "body string"), "body", flatten.actor_detail("ownId")).first()
+    assert a["srn"] == a["registry_identifier"] == "DK-1"
     assert (a["name"], a["country_iso2_code"], a["address_complement"], a["primary_prrc_first_name"], a["primary_prrc_country_name"]) == ("N", "DK", "2nd", "F", "Denmark")
 
 
@@ -382,3 +383,113 @@ def test_columns_by_synonym(spark, tmp_path):
     assert columns.read_first(spark, str(tmp_path), ["a"]) is None
     assert columns.copy_tables(spark, str(tmp_path), f"{tmp_path}/out", ["b", "c"]) == {"b": "copied", "c": "missing"}
     assert df.select(columns.json_digest(df, ["old", "Uuid"])).first()[0] == df.select(columns.json_digest(df, ["Uuid", "old"])).first()[0]
+
+
+# --------------------------------------------------------------------------- runs
+
+
+def test_crawl_stops_and_is_taken_up_again(spark, monkeypatch, tmp_path):
+    from snapledger.sources import crawl, paged
+
+    spark.dataSource.register(paged.PagedSource)
+    options = {"transport": "snapledger.sources.loopback:serve", "url": "loop://offset/100/10"}
+    first = crawl.crawl(spark, options, 10, "full", stretch=3, caps=paged.Caps(records=5))
+    assert first.state == {"mode": "full", "first_page": 0, "next_page": 6, "total_pages": 10, "finished": False, "stopped_by": "records"}
+    rest = crawl.crawl(spark, options, 10, "resume_full", state=first.state, stretch=4)
+    assert rest.state["first_page"] == 5 and rest.state["finished"] and rest.state["stopped_by"] is None
+    assert sorted({r["page"] for r in first.pages.collect()} | {r["page"] for r in rest.pages.collect()}) == list(range(10))
+    assert [crawl.resume_page(s, "full") for s in (None, {}, {**first.state, "mode": "incremental"}, {**first.state, "finished": True}, {"mode": "x", "finished": False, "next_page": 3})] == [0] * 5
+    # a page that fails for good ends the crawl before it
+    bad = crawl.crawl(spark, {"transport": "snapledger.sources.loopback:serve", "url": "loop://key/7", "tries": "1"}, 4, "full", stretch=2)
+    assert bad.state["next_page"] == 0 and bad.state["stopped_by"] == "failed" and bad.pages.count() == 0
+
+
+def test_lookups_keep_to_their_caps_and_lose_no_key(spark):
+    from snapledger.sources import paged
+
+    keys = spark.createDataFrame([(i,) for i in range(1, 41)] + [(1,), (None,)], "k int")
+    ask = lambda **kw: paged.lookup(keys, "k", "snapledger.sources.loopback:serve", "loop://key/{key}", **kw)
+    got = {r["key"]: r for r in ask().collect()}
+    assert len(got) == 40 and got["7"]["error"] == "status 404" and got["8"]["body"] == '{"key": 8, "square": 64}'
+    capped = ask(parallel=2, caps=paged.Caps(records=10)).collect()
+    assert len(capped) == 40 and sum(r["status"] is not None for r in capped) == 10
+    assert {r["error"] for r in capped if r["status"] is None} == {"not asked: records"}
+    failures = ask(parallel=1, caps=paged.Caps(failures=2)).collect()
+    assert sum(r["error"] == "status 404" for r in failures) == 2 and len(failures) == 40
+    assert ask(parallel=1).count() == 40 and paged.lookup(keys.limit(0), "k", "snapledger.sources.loopback:serve", "loop://key/{key}").count() == 0
+
+
+def test_results_of_a_capped_drain_leave_the_rest_pending(spark):
+    from snapledger.sources import paged
+
+    queue = spark.createDataFrame([(str(i), "pending", 0) for i in range(1, 21)], "k string, status string, attempt_count bigint")
+    got = paged.lookup(versions.remaining(queue), "k", "snapledger.sources.loopback:serve", "loop://key/{key}", parallel=1, caps=paged.Caps(records=8)).filter("status IS NOT NULL")
+    after = versions.apply_results(queue, got.select(C("key").alias("k"), C("error").isNull().alias("ok"), C("status").alias("status_code"), "error"), "k", "now").collect()
+    assert sum(r["status"] == "pending" for r in after) == 12 and {r["status"] for r in after} <= {"pending", "done", "failed"}
+
+
+def test_a_refusal_is_not_asked_again():
+    from snapledger.sources import paged
+
+    asked = []
+    got = paged.fetch(lambda u, p: asked.append(u) or (503, "<h1>Access Denied</h1>", None), "u", {}, paged.RetryPolicy(5), lambda s: None)
+    assert got.error == "refused" and len(asked) == 1
+
+
+def test_runs_leave_what_their_status_says(spark, tmp_path):
+    from snapledger.sources.crawl import finish_run
+    from snapledger.sources.snapshots import SnapshotStore
+
+    store = SnapshotStore(spark, f"file://{tmp_path}/runs")
+    frame = lambda data: spark.createDataFrame(data, "k string, v int")
+    run = lambda version, data, **kw: finish_run(store, version, "t", frame(data) if data is not None else None, ["k"], **kw)
+    assert run("v0", None, usable_pages=0, finished=False) == "FAILED" and store.latest() is None
+    assert run("v1", [("a", 1), ("b", 1)], usable_pages=2, finished=True) == "BOOTSTRAP"
+    assert run("v2", [("a", 2)], usable_pages=1, finished=False) == "PARTIAL" and rows(store.read("t")) == [("a", 2), ("b", 1)]
+    assert run("v3", None, usable_pages=0, finished=False) == "FAILED" and store.latest() == "v2"
+    assert run("v4", [("c", 3)], usable_pages=1, finished=True) == "COMPLETE" and rows(store.read("t")) == [("c", 3)]
+    assert store.vacuum(keep=2) == ["v1"] and store.vacuum(keep=2) == [] and rows(store.read("t", "v2")) == [("a", 2), ("b", 1)]
+    assert store.vacuum(keep=0) == ["v2"] and rows(store.read("t")) == [("c", 3)]
+
+
+def test_marts_come_as_one_version(spark, tmp_path):
+    from snapledger.plans import marts
+    from snapledger.sources.snapshots import SnapshotStore
+    from tests.conftest import SMALL
+
+    store = SnapshotStore(spark, f"file://{tmp_path}/marts")
+    assert marts.build_marts(spark, SMALL, store, "m1") == ["actors", "change_events", "devices", "risk_distribution"]
+    assert store.read("actors").count() == marts.actor_mart(spark, SMALL).count()
+
+
+def test_newest_file_and_row_samples(spark, tmp_path):
+    import os
+
+    from snapledger.sources.tables import newest_path
+
+    for i, name in enumerate(("b.csv", "a.csv", "c.txt")):
+        (tmp_path / name).write_text("x")
+        os.utime(tmp_path / name, (1000 + i, 1000 + i))
+    assert newest_path(spark, f"file://{tmp_path}", "*.csv").endswith("/a.csv") and newest_path(spark, f"file://{tmp_path}/none") is None
+    df = spark.createDataFrame([(3,), (1,), (2,)], "n int")
+    assert [[r[0] for r in coverage.sample_rows(df, ["n"], n).collect()] for n in (0, -1, 2)] == [[], [1, 2, 3], [1, 2]]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from snapledger.sources import tables
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda k, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        tables.shared_dir(Fake)
+
+
+def test_frontier_of_nothing_known_lets_all_pass(spark):
+    df = spark.createDataFrame([("01b",), ("01A",), (None,)], "ulid string")
+    assert rows(audit.beyond_frontier(df, df.filter("ulid = '01A'"), "ulid")) == [("01b",)]
+    assert audit.beyond_frontier(df, df.limit(0), "ulid").count() == 3
