@@ -7,8 +7,10 @@ are only ever appended to.  ``seen`` has each distinct observation once;
 an earlier one where late observations demand it.  End dates are not stored but
 come from a view with ``lead``.
 
-A hot entity is cut by day: neighbours are found within (entity, day), and only
-one row per day meets in the entity's own window.
+An entity's rows meet in one window, all of them after one shuffle on the
+entity.  A hot entity (a share of all rows, so there are few by arithmetic) is
+cut by day instead: neighbours are found within (entity, day), and only one row
+per day meets in the entity's own window.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import path_exists
+from .orphans import heavy_keys
 
 
 def hash_diff(cols: Sequence[str]) -> Column:
@@ -27,32 +30,61 @@ def hash_diff(cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def neighbour(df: DataFrame, entity: str, cut: str, order: Sequence[str], value: Column, name: str, ahead: bool = False) -> DataFrame:
+def hot_entities(df: DataFrame, entity: str, share: float = 0.01) -> list[str]:
+    """Entities with at least ``share`` of the rows: never more than ``1 / share`` of them."""
+    counts = df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
+    return heavy_keys(counts, entity, "n", share)
+
+
+def _apart(df: DataFrame, entity: str, hot: Sequence[str], usual, cut) -> DataFrame:
+    """``usual`` of the rows of usual entities and ``cut`` of those of hot ones."""
+    if not hot:
+        return usual(df)
+    is_hot = F.col(entity).isin(list(hot))
+    return usual(df.filter(~is_hot)).unionByName(cut(df.filter(is_hot)))
+
+
+def neighbour(
+    df: DataFrame, entity: str, cut: str, order: Sequence[str], value: Column, name: str, ahead: bool = False, hot: Sequence[str] = ()
+) -> DataFrame:
     """``df`` with ``name``: ``value`` (never NULL) in the entity's row before, or after if ``ahead``.
 
-    ``cut`` divides an entity's rows into stretches that follow each other in ``order`` (NULL first).
+    ``cut`` divides the rows of ``hot`` entities into stretches that follow each other in ``order`` (NULL first).
     """
     by = [F.col(c).asc_nulls_first() for c in order]
     step = F.lead if ahead else F.lag
-    edge = (F.min_by if ahead else F.max_by)(value, F.struct(*order)).alias("__edge")
-    far = df.groupBy(entity, cut).agg(edge).select(
-        entity, cut, step("__edge").over(Window.partitionBy(entity).orderBy(F.col(cut).asc_nulls_first())).alias("__far")
-    )
-    near = df.withColumn(name, step(value).over(Window.partitionBy(entity, cut).orderBy(*by)))
-    joined = near.join(far.withColumnsRenamed({entity: "__e", cut: "__c"}), (F.col(entity) == F.col("__e")) & F.col(cut).eqNullSafe(F.col("__c")), "left")
-    return joined.withColumn(name, F.coalesce(name, "__far")).drop("__e", "__c", "__far")
 
+    def usual(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, step(value).over(Window.partitionBy(entity).orderBy(*by)))
+
+    def stretched(rows: DataFrame) -> DataFrame:
+        edge = (F.min_by if ahead else F.max_by)(value, F.struct(*order)).alias("__edge")
+        far = rows.groupBy(entity, cut).agg(edge).select(
+            F.col(entity).alias("__e"), F.col(cut).alias("__c"), step("__edge").over(Window.partitionBy(entity).orderBy(F.col(cut).asc_nulls_first())).alias("__far")
+        )
+        near = rows.withColumn(name, step(value).over(Window.partitionBy(entity, cut).orderBy(*by)))
+        joined = near.join(far, (F.col(entity) == F.col("__e")) & F.col(cut).eqNullSafe(F.col("__c")), "left")
+        return joined.withColumn(name, F.coalesce(name, "__far")).drop("__e", "__c", "__far")
 
-def carried(df: DataFrame, entity: str, cut: str, order: Sequence[str], marks: Sequence[str]) -> DataFrame:
+    return _apart(df, entity, hot, usual, stretched)
+
+
+def carried(df: DataFrame, entity: str, cut: str, order: Sequence[str], marks: Sequence[str], hot: Sequence[str] = ()) -> DataFrame:
     """``df`` with each column of ``marks`` filled from the last row before that has it."""
     by = [F.col(c).asc_nulls_first() for c in order]
-    far = df.groupBy(entity, cut).agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(*order))).alias(m) for m in marks])
-    so_far = Window.partitionBy(entity).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
-    far = far.select(F.col(entity).alias("__e"), F.col(cut).alias("__c"), *[F.last(m, ignorenulls=True).over(so_far).alias(f"__far_{m}") for m in marks])
-    within = Window.partitionBy(entity, cut).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
-    near = df.withColumns({m: F.last(m, ignorenulls=True).over(within) for m in marks})
-    joined = near.join(far, (F.col(entity) == F.col("__e")) & (F.col(cut) == F.col("__c")), "left")
-    return joined.withColumns({m: F.coalesce(m, f"__far_{m}") for m in marks}).drop("__e", "__c", *[f"__far_{m}" for m in marks])
+
+    def filled(rows: DataFrame, *parts: str) -> DataFrame:
+        so_far = Window.partitionBy(*parts).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumns({m: F.last(m, ignorenulls=True).over(so_far) for m in marks})
+
+    def stretched(rows: DataFrame) -> DataFrame:
+        far = rows.groupBy(entity, cut).agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(*order))).alias(m) for m in marks])
+        before = Window.partitionBy(entity).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+        far = far.select(F.col(entity).alias("__e"), F.col(cut).alias("__c"), *[F.last(m, ignorenulls=True).over(before).alias(f"__far_{m}") for m in marks])
+        joined = filled(rows, entity, cut).join(far, (F.col(entity) == F.col("__e")) & (F.col(cut) == F.col("__c")), "left")
+        return joined.withColumns({m: F.coalesce(m, f"__far_{m}") for m in marks}).drop("__e", "__c", *[f"__far_{m}" for m in marks])
+
+    return _apart(df, entity, hot, lambda rows: filled(rows, entity), stretched)
 
 
 # --------------------------------------------------------------------------- rates
@@ -64,9 +96,12 @@ def change_rates(df: DataFrame, entity: str, order: Sequence[str], attributes: S
     NULL counts as a value.  ``cut`` (by default the first of ``order``) divides an entity's rows into
     stretches that follow each other, so that a hot entity is no single window.  No step gives rate 0.
     """
-    known = df.select(entity, *dict.fromkeys([*order, *attributes]), (F.col(order[0]) if cut is None else cut).alias("__cut"))
     full_order = list(dict.fromkeys([*order, *attributes]))
-    prev = neighbour(known, entity, "__cut", full_order, F.struct(*attributes), "__p").filter(F.col("__p").isNotNull())
+    known = df.filter(F.col(entity).isNotNull()).select(entity, *full_order, (F.col(order[0]) if cut is None else cut).alias("__cut"))
+    hot = hot_entities(known, entity)
+    if not hot:
+        known = known.drop("__cut")
+    prev = neighbour(known, entity, "__cut", full_order, F.struct(*attributes), "__p", hot=hot).filter(F.col("__p").isNotNull())
     sums = prev.agg(F.count(F.lit(1)).alias("steps"), *[F.count_if(~F.col(c).eqNullSafe(F.col(f"__p.{c}"))).alias(c) for c in attributes])
     return sums.unpivot(["steps"], list(attributes), "attribute", "changes").select(
         "attribute",
@@ -119,10 +154,10 @@ class Satellite:
         batch = 0 if stored is None else (stored.agg(F.max("batch").alias("b")).first()["b"] or 0) + 1
         valid = observations.filter(F.col("entity_key").isNotNull() & F.col("version_key").isNotNull() & F.col("day").isNotNull())
         first = F.when(F.col("first_seen") <= F.col("day"), F.col("first_seen"))
-        found = valid.withColumn("hash_diff", hash_diff(list(dict.fromkeys(["version_key", *self.attributes])))).select(
+        found = valid.withColumn("hash_diff", F.unhex(hash_diff(list(dict.fromkeys(["version_key", *self.attributes]))))).select(
             *self.key, F.coalesce(first, F.lit("")).alias("first_seen")
-        ).distinct()
-        fresh = found if seen is None else found.join(seen, found.columns, "left_anti")
+        )
+        fresh = found if seen is None else found.distinct().join(seen, found.columns, "left_anti")
         fresh.write.mode("append").parquet(f"{self.path}/seen")
         seen = self.spark.read.schema(found.schema).parquet(f"{self.path}/seen")
         if stored is None:
@@ -137,14 +172,16 @@ class Satellite:
         rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(f"{self.path}/rows")
 
     def _derive(self, seen: DataFrame) -> DataFrame:
-        states = seen.groupBy(*self.key).agg(F.collect_set(F.nullif(F.col("first_seen"), F.lit(""))).alias("first_seen"))
+        hot = hot_entities(seen, "entity_key")
+        # one shuffle for all that follows; hot entities go by (entity, day)
+        states = (seen if hot else seen.repartition("entity_key")).groupBy(*self.key).agg(F.collect_set(F.nullif(F.col("first_seen"), F.lit(""))).alias("first_seen"))
         order = self.order if self.order[0] == "day" else ["day", *self.order]
-        at = neighbour(states, "entity_key", "day", order, F.struct("day", "version_key", "hash_diff"), "__prev")
+        at = neighbour(states, "entity_key", "day", order, F.struct("day", "version_key", "hash_diff"), "__prev", hot=hot)
         begins = F.col("__prev").isNull() | (F.col("__prev.hash_diff") != F.col("hash_diff"))
         new_version = F.col("__prev").isNull() | (F.col("__prev.version_key") != F.col("version_key"))
         at = at.withColumn("__row", F.when(begins, F.struct(*[F.col(c) for c in self.key if c != "entity_key"])))
         at = at.withColumn("__version", F.when(new_version, F.struct(F.col("__prev.day").alias("before"))))
-        runs = carried(at, "entity_key", "day", order, ["__row", "__version"])
+        runs = carried(at, "entity_key", "day", order, ["__row", "__version"], hot)
         before = F.col("__version.before")
         earliest = F.array_min(F.filter("first_seen", lambda f: before.isNull() | (f > before)))
         return runs.groupBy("entity_key", "__row").agg(F.min(F.least("day", earliest)).alias("valid_from")).select("entity_key", "__row.*", "valid_from").select(*self.key, "valid_from")
@@ -155,17 +192,23 @@ class Satellite:
 
     def rows(self) -> DataFrame:
         """What stands of the stored rows: the newest of each beginning that is not void."""
-        return self._latest(self._table("rows"))
+        stored = self._table("rows")
+        if not stored.agg(F.max("batch").alias("b")).first()["b"]:  # one batch has no beginning twice
+            return stored.drop("batch")
+        return self._latest(stored)
 
     def history(self) -> DataFrame:
         """``entity_key, version_key, valid_from, valid_to``: the end is the next version's start, '' if none."""
         order = self.order if self.order[0] == "day" else ["day", *self.order]
         rows = self.rows()
+        hot = hot_entities(rows, "entity_key")
+        if not hot:
+            rows = rows.repartition("entity_key")
         if self.attributes:  # several rows may belong to one version
-            at = neighbour(rows, "entity_key", "day", order, F.struct("version_key"), "__prev")
+            at = neighbour(rows, "entity_key", "day", order, F.struct("version_key"), "__prev", hot=hot)
             new = F.col("__prev").isNull() | (F.col("__prev.version_key") != F.col("version_key"))
             at = at.withColumn("__start", F.when(new, F.struct(*[c for c in self.key if c != "entity_key"])))
-            runs = carried(at, "entity_key", "day", order, ["__start"])
+            runs = carried(at, "entity_key", "day", order, ["__start"], hot)
             rows = runs.groupBy("entity_key", "__start").agg(F.min("valid_from").alias("valid_from")).select("entity_key", "__start.*", "valid_from")
-        out = neighbour(rows, "entity_key", "day", order, F.struct("valid_from"), "__next", ahead=True)
+        out = neighbour(rows, "entity_key", "day", order, F.struct("valid_from"), "__next", ahead=True, hot=hot)
         return out.select("entity_key", "version_key", "valid_from", F.coalesce("__next.valid_from", F.lit("")).alias("valid_to"))

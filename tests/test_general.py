@@ -261,6 +261,7 @@ def test_batches_in_any_order_give_the_same_history(spark):
             picked[e, day] = ((f"e{e:02d}", rnd.choice("AB"), f"2025-01-{day:02d}", f"2025-01-{first:02d}" if first else None), rnd.randint(0, 2))
     batches = [[r for r, n in picked.values() if n == k] for k in range(3)]
     want = brute_history([r for r, _ in picked.values()])
+    assert len(satellites.hot_entities(observed(spark, sum(batches, [])), "entity_key")) > 20  # so both ways are taken
     assert history(spark, *batches) == want == history(spark, [], sum(batches, []))
 
 
@@ -289,7 +290,7 @@ def test_a_failed_batch_can_be_appended_again(spark):
     satellite.append(observed(spark, [("e", "A", "2025-01-01", None)]))
     late = [("e", "B", "2025-01-05", None)]
     # as if the job had been lost between the two tables
-    valid = observed(spark, late).withColumn("hash_diff", satellites.hash_diff(["version_key"]))
+    valid = observed(spark, late).withColumn("hash_diff", F.unhex(satellites.hash_diff(["version_key"])))
     valid.select(*satellite.key, F.lit("").alias("first_seen")).write.mode("append").parquet(f"{satellite.path}/seen")
     satellite.append(observed(spark, late))
     assert rows(satellite.history()) == [("e", "A", "2025-01-01", "2025-01-05"), ("e", "B", "2025-01-05", "")]
@@ -314,9 +315,10 @@ def test_neighbours_across_stretches(spark):
         mine = [r for r in order if r[0] == e]
         at = mine.index((e, c, n))
         want.append((e, c, n, mine[at - 1][2] if at else None, mine[at + 1][2] if at + 1 < len(mine) else None))
-    got = satellites.neighbour(df, "k", "c", ["c", "n"], F.struct("n"), "p")
-    got = satellites.neighbour(got, "k", "c", ["c", "n"], F.struct("n"), "q", ahead=True)
-    assert rows(got.select("k", "c", "n", "p.n", "q.n")) == rows(spark.createDataFrame(want, "k string, c int, n int, p int, q int"))
+    for hot in ([], ["e", "g"], ["e", "f", "g", "h"]):
+        got = satellites.neighbour(df, "k", "c", ["c", "n"], F.struct("n"), "p", hot=hot)
+        got = satellites.neighbour(got, "k", "c", ["c", "n"], F.struct("n"), "q", ahead=True, hot=hot)
+        assert rows(got.select("k", "c", "n", "p.n", "q.n")) == rows(spark.createDataFrame(want, "k string, c int, n int, p int, q int"))
 
 
 def test_split_by_change_rate(spark):
