@@ -81,22 +81,58 @@ def flatten_recursive(df: DataFrame, joiner: str = ".") -> DataFrame:
     return df.select([c.alias(n) for n, c in flatten_columns(df.schema, joiner=joiner)])
 
 
+def _parsed(body: Column, paths: Sequence[str]) -> dict[str, Column]:
+    """The JSON text or value at each path, with one look at the document (and one more at what is wanted whole and in parts)."""
+    root: dict = {}
+    for path in paths:
+        at = root
+        for part in re.findall(r"[^.\[\]]+|\[\d+\]", path):
+            at = at.setdefault("children", {}).setdefault(part, {})
+        at["whole"] = True
+
+    def kind(node: dict) -> str:
+        if "children" not in node or "whole" in node:
+            return "string"
+        parts = {p: kind(c) for p, c in node["children"].items()}
+        if all(p.startswith("[") for p in parts):
+            return f"array<{next(iter(parts.values()))}>"
+        return "struct<" + ", ".join(f"`{p}`:{k}" for p, k in parts.items()) + ">"
+
+    out: dict[str, Column] = {}
+
+    def walk(node: dict, at: Column, path: str) -> None:
+        if "whole" in node:
+            out[path] = at
+            if "children" not in node:
+                return
+            at = F.from_json(at, kind({"children": node["children"]}))
+        for part, child in node["children"].items():
+            value = F.get(at, F.lit(int(part[1:-1]))) if part.startswith("[") else at[part]
+            walk(child, value, f"{path}{part}" if part.startswith("[") else f"{path}.{part}" if path else part)
+
+    walk(root, F.from_json(body, kind(root)), "")
+    return out
+
+
 def flatten_declared(df: DataFrame, body: str, layout: Sequence[str], kinds: dict[str, str] | None = None) -> DataFrame:
     """Columns of a JSON text column by a layout; what is not in a document is NULL, and so is all of a broken one.
 
     A layout entry is ``path`` or ``path>column`` with one of the marks after the path: ``#`` the code of
     a coded object, ``@`` a ULID that is followed by its ``_timestamp``, ``$`` the text of a multilingual
     object, ``&`` the JSON text.  The column's default name is the path in snake case.  ``kinds`` gives
-    types other than string by path.
+    types other than string by path.  A document is parsed once, by a schema made from the layout.
     """
     kinds = kinds or {}
-    out: list[Column] = []
+    entries = []
     for entry in layout:
         path, _, name = entry.partition(">")
         mark = path[-1] if path[-1] in "#@$&" else ""
         path = path.rstrip("#@$&")
-        name = name or snake(path.replace(".", "_")) + ("_json" if mark == "&" else "_code" if mark == "#" else "")
-        raw = F.get_json_object(F.col(body), f"$.{path}")
+        entries.append((path, mark, name or snake(path.replace(".", "_")) + ("_json" if mark == "&" else "_code" if mark == "#" else "")))
+    found = _parsed(F.col(body), [path for path, _, _ in entries])
+    out: list[Column] = []
+    for path, mark, name in entries:
+        raw = found[path]
         if mark == "#":
             value = F.coalesce(code_of(F.from_json(raw, CODED)), F.when(~raw.startswith("{"), raw))
         elif mark == "$":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import composite_key
@@ -53,9 +53,11 @@ def merge_latest_wins(prev: DataFrame, new: DataFrame, key: str, order: Sequence
     Rows without a key are all kept.
     """
     both = prev.withColumn("__src", F.lit(0)).unionByName(new.withColumn("__src", F.lit(1)), allowMissingColumns=True)
-    by = [c.desc_nulls_last() for c in order] + [F.col("__src").desc()] + ([tie.desc_nulls_last()] if tie is not None else [])
-    keyed = both.filter(F.col(key).isNotNull()).withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*by))).filter("__n = 1")
-    return keyed.drop("__n", "__src").unionByName(both.filter(F.col(key).isNull()).drop("__src"))
+    names = [c for c in both.columns if c != "__src"]
+    by = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], "__src", *([tie.alias("tie")] if tie is not None else []))
+    # a combinable maximum (NULL lowest), so a hot key is no hot task
+    keyed = both.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*names), by).alias("r")).select("r.*")
+    return keyed.unionByName(both.filter(F.col(key).isNull()).select(*names))
 
 
 def merge_accounting(prev: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -93,3 +93,23 @@ def ladder_span(counts: DataFrame, group: str, ladder: Mapping[str, str]) -> Dat
         return F.coalesce(*[F.when(held, F.lit(label)) for label, held in of])
 
     return counts.select(group, first(rungs).alias("newest"), first(rungs[::-1]).alias("oldest"))
+
+
+def top_profiles(counts: DataFrame, group: str, category: str, profiles: Mapping[str, tuple[Mapping[str, int] | None, bool]]) -> DataFrame:
+    """Several top categories of each group in one aggregate: ``group, <name>, <name>_count, <name>_rank`` for each profile.
+
+    A profile is its ranks (only ranked categories count; None: the most frequent one) and whether the lowest
+    rank is taken rather than the highest.  Ties go to the count, then the lowest label; a group without a
+    category of the profile has NULLs.
+    """
+    out: list[Column] = []
+    for name, (ranks, lowest) in profiles.items():
+        rank = F.lit(0)
+        if ranks is not None:
+            rank = F.lit(None).cast("int")
+            for code, r in ranks.items():
+                rank = F.when(F.col(category) == code, r).otherwise(rank)
+        order = F.when(rank.isNotNull(), F.struct((rank if lowest else -rank).alias("r"), (-F.col("n")).alias("n"), F.col(category).alias("c")))
+        out.append(F.min_by(F.struct(F.col(category).alias("c"), F.col("n").alias("n"), (rank if ranks is not None else F.lit(None).cast("int")).alias("r")), order).alias(name))
+    best = counts.groupBy(group).agg(*out)
+    return best.select(group, *[x for n in profiles for x in (F.col(f"{n}.c").alias(n), F.col(f"{n}.n").alias(f"{n}_count"), F.col(f"{n}.r").alias(f"{n}_rank"))])

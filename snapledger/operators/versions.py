@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -38,9 +38,10 @@ def identity_key(columns: Sequence[str]) -> Column:
 
 def newest_per_key(df: DataFrame, key: str, ulid: str = "ulid", version: str = "version_number") -> DataFrame:
     """One row per key: highest ulid, then version; of full ties the greatest row. Rows without a key are left out."""
-    rest = [F.col(c).cast("string").desc_nulls_last() for c in df.columns if c not in (key, ulid, version)]
-    w = Window.partitionBy(key).orderBy(F.coalesce(F.col(ulid), F.lit("")).desc(), int_or_minus(version).desc(), *rest)
-    return df.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    rest = [F.col(c).cast("string") for c in df.columns if c not in (key, ulid, version)]
+    by = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([F.coalesce(F.col(ulid), F.lit("")), int_or_minus(version), *rest])])
+    rows = df.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
+    return rows.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*df.columns), by).alias("r")).select("r.*")
 
 
 def current_versions(df: DataFrame, identity: Column, key: str, latest: str = "latest_version", version: str = "version_number", ulid: str = "ulid") -> DataFrame:

@@ -117,6 +117,90 @@ def risk_distribution(spark: SparkSession, d: str) -> DataFrame:
     return rows.filter(F.col("day") == F.lit(last)).groupBy("risk", "law").agg(F.count_distinct("uuid").alias("devices"))
 
 
+# Legislation codes from the newest to the oldest of each framework, and the ranks of their risk classes.
+_FRAMEWORKS = {"a": {"-300": 2, "-301": 1}, "b": {"-302": 2, "-303": 1}}
+_RISKS = {"a": {"-203": 1, "-204": 2, "-205": 3, "-206": 4}, "b": {"-207": 1, "-208": 2, "-209": 3, "-210": 4}}
+_RISK_PROFILES = {"dominant_risk": (None, False)} | {f"highest_risk_{f}": (r, False) for f, r in _RISKS.items()}
+_LAW_PROFILES = {"dominant_law": (None, False)} | {f"{n}_law_{f}": (r, n == "oldest") for f, r in _FRAMEWORKS.items() for n in ("latest", "oldest")}
+_ALL_PROFILES = _RISK_PROFILES | _LAW_PROFILES
+
+
+def _actor_metrics(edges: DataFrame) -> DataFrame:
+    """One row per actor: devices, the top profiles of risk classes and legislations, and how far each framework has moved to its newest."""
+    risk, law = (ranking.category_counts(edges, "actor", c, "uuid") for c in ("risk", "law"))
+    held = {f: [ranking.category_counts(edges, "actor", "law", "uuid").groupBy("actor").agg(
+        *[F.coalesce(F.sum(F.when(F.col("law") == code, F.col("n"))), F.lit(0)).alias(f"{kind}_{f}") for kind, code in zip(("new", "old"), ranks, strict=True)]
+    )] for f, ranks in _FRAMEWORKS.items()}
+    base = edges.groupBy("actor").agg(F.count_distinct("uuid").alias("devices"))
+    parts = [ranking.top_profiles(risk, "actor", "risk", _RISK_PROFILES), ranking.top_profiles(law, "actor", "law", _LAW_PROFILES), *[p for ps in held.values() for p in ps]]
+    star = ranking.metric_star(base, "actor", parts, zero=[f"{k}_{f}" for f in _FRAMEWORKS for k in ("new", "old")])
+    return star.select("*", *[ranking.share_score(F.col(f"new_{f}"), F.col(f"new_{f}") + F.col(f"old_{f}")).alias(f"migration_{f}") for f in _FRAMEWORKS])
+
+
+def _metric_names() -> tuple[list[str], list[str], list[str]]:
+    """Counts, scores and labels of the actor's profile."""
+    return ["devices", *[f"{n}_count" for n in _ALL_PROFILES]], [f"migration_{f}" for f in _FRAMEWORKS], list(_ALL_PROFILES)
+
+
+def _profile_sql(edges: str) -> str:
+    def ranked(name: str, column: str, ranks: dict[str, int] | None, lowest: bool) -> str:
+        rank = "0" if ranks is None else f"CASE {column} " + " ".join(f"WHEN '{c}' THEN {r}" for c, r in ranks.items()) + " END"
+        return (
+            f"(SELECT actor, {column} {name}, count(DISTINCT uuid)::BIGINT {name}_count, {'NULL' if ranks is None else rank}::INT {name}_rank FROM {edges} "
+            f"WHERE {column} IS NOT NULL AND {rank} IS NOT NULL GROUP BY actor, {column} "
+            f"QUALIFY row_number() OVER (PARTITION BY actor ORDER BY {rank} {'' if lowest else 'DESC'}, count(DISTINCT uuid) DESC, {column}) = 1)"
+        )
+
+    parts = [ranked(n, "risk", dict(r) if r else None, low) for n, (r, low) in _RISK_PROFILES.items()] + [ranked(n, "law", dict(r) if r else None, low) for n, (r, low) in _LAW_PROFILES.items()]
+    held = ", ".join(
+        f"count(DISTINCT CASE WHEN law = '{code}' THEN uuid END)::BIGINT {kind}_{f}" for f, ranks in _FRAMEWORKS.items() for kind, code in zip(("new", "old"), ranks, strict=True)
+    )
+    scores = ", ".join(f"round(100.0::DOUBLE * new_{f}::DOUBLE / nullif(new_{f} + old_{f}, 0)::DOUBLE, 2) migration_{f}" for f in _FRAMEWORKS)
+    joins = " ".join(f"LEFT JOIN {p} x{i} USING (actor)" for i, p in enumerate(parts))
+    return f"SELECT *, {scores} FROM (SELECT actor, count(DISTINCT uuid)::BIGINT devices, {held} FROM {edges} GROUP BY 1) {joins}"
+
+
+def _actor_profile_sql() -> str:
+    counts, scores, labels = _metric_names()
+    out = ["cm.*"]
+    out += [f"coalesce(om.{c}, 0)::BIGINT {c}_previous, (coalesce(cm.{c}, 0) - coalesce(om.{c}, 0))::BIGINT {c}_change" for c in counts]
+    out += [f"om.{c} {c}_previous, round(cm.{c} - om.{c}, 2) {c}_change" for c in scores]
+    out += [f"om.{c} {c}_previous, (om.actor IS NOT NULL AND cm.{c} IS DISTINCT FROM om.{c}) {c}_changed" for c in labels]
+    old = "(SELECT DISTINCT actor, uuid, risk, law FROM (SELECT mf actor, uuid, risk, law FROM p UNION ALL SELECT ar, uuid, risk, law FROM p) WHERE actor IS NOT NULL)"
+    return _D + f", cm AS ({_profile_sql('ce')}), om AS ({_profile_sql(old)}) SELECT {', '.join(out)} FROM cm LEFT JOIN om ON cm.actor = om.actor"
+
+
+@query("actor_profile", _actor_profile_sql())
+def actor_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Per actor the whole metric star, each metric with its value in the snapshot before and the change."""
+    rows = _devices(spark, d)
+    last, before = _last_two(rows)
+    now = _actor_metrics(_actor_edges(rows.filter(F.col("day") == F.lit(last))))
+    counts, scores, labels = _metric_names()
+    old = _actor_metrics(_actor_edges(rows.filter(F.col("day") == F.lit(before)))).select("actor", F.lit(True).alias("__was"), *[F.col(c).alias(f"{c}_previous") for c in (*counts, *scores, *labels)])
+    both = now.join(old, "actor", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return both.select(
+        *now.columns,
+        *[x for c in counts for x in (zero(f"{c}_previous").alias(f"{c}_previous"), (zero(c) - zero(f"{c}_previous")).alias(f"{c}_change"))],
+        *[x for c in scores for x in (F.col(f"{c}_previous"), F.round(F.col(c) - F.col(f"{c}_previous"), 2).alias(f"{c}_change"))],
+        *[x for c in labels for x in (F.col(f"{c}_previous"), (F.col("__was").isNotNull() & ~F.col(c).eqNullSafe(F.col(f"{c}_previous"))).alias(f"{c}_changed"))],
+    )
+
+
+@query(
+    "event_projection",
+    _D + """, r AS (SELECT DISTINCT risk code, 'class ' || risk AS label FROM g WHERE risk IS NOT NULL)
+SELECT day, uuid, coalesce(mf, ar) actor, coalesce(change_type, 'UNKNOWN') change_type, risk, label risk_label, law FROM g LEFT JOIN r ON risk = code WHERE change_type IS DISTINCT FROM 'UNCHANGED'""",
+)
+def event_projection(spark: SparkSession, d: str) -> DataFrame:
+    """Logged changes row by row, with the label of their risk class from a code list."""
+    rows = _devices(spark, d)
+    codes = rows.select(F.col("risk").alias("code"), F.concat(F.lit("class "), "risk").alias("label"))
+    labelled = relations.with_label(rows.filter(~F.col("change_type").eqNullSafe("UNCHANGED")), F.col("risk"), relations.code_labels(codes, "code", "label"), "code", "label", "risk_label")
+    return labelled.select("day", "uuid", F.coalesce("mf", "ar").alias("actor"), F.coalesce("change_type", F.lit("UNKNOWN")).alias("change_type"), "risk", "risk_label", "law")
+
+
 _SPEC = CdcSpec(key=["uuid"], changes=[("UPDATED_RISK", ["risk"]), ("UPDATED_LAW", ["law"])])
 _H = "md5(concat_ws('|', coalesce(law,''), coalesce(mf,''), coalesce(risk,''), uuid))"
 
@@ -139,6 +223,6 @@ def cdc_snapshots(spark: SparkSession, d: str) -> DataFrame:
 
 def build_marts(spark: SparkSession, d: str, store: SnapshotStore, version: str) -> list[str]:
     """All marts of the tables in ``d`` as one version of ``store``: readers see all of them or none."""
-    marts = {"actors": actor_mart, "devices": device_mart, "change_events": change_event_mart, "risk_distribution": risk_distribution}
+    marts = {"actors": actor_mart, "devices": device_mart, "change_events": change_event_mart, "events": event_projection, "profiles": actor_profile, "risk_distribution": risk_distribution}
     store.commit(version, {name: fn(spark, d) for name, fn in marts.items()}, COMPLETE)
     return sorted(marts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -44,6 +46,7 @@ def ship(spark: SparkSession) -> None:
         return
     home = Path(__file__).parent
     target = Path(tempfile.mkdtemp(prefix="snapledger-"), "snapledger.zip")
+    atexit.register(shutil.rmtree, target.parent, ignore_errors=True)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(home.rglob("*.py")):
             z.write(p, Path(home.name, p.relative_to(home)))

@@ -6,7 +6,9 @@ a known few rows) are put together on the driver.
 
 from __future__ import annotations
 
+import codecs
 import json
+import shutil
 import zipfile
 from collections.abc import Mapping, Sequence
 from pathlib import Path
@@ -25,8 +27,11 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def zip_dirs(target: str, members: Mapping[str, str]) -> list[str]:
-    """Part files of local directories into one zip, named by member; returns the names that were missing."""
+def zip_dirs(target: str, members: Mapping[str, str], bom: bool = False) -> list[str]:
+    """Part files of local directories into one zip, named by member; returns the names that were missing.
+
+    ``bom`` puts a byte order mark before each, for spreadsheets that guess encodings.
+    """
     missing = []
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for name, directory in members.items():
@@ -34,7 +39,9 @@ def zip_dirs(target: str, members: Mapping[str, str]) -> list[str]:
             if not parts:
                 missing.append(name)
             for i, p in enumerate(parts):
-                z.write(p, name if len(parts) == 1 else f"{Path(name).stem}-{i:05d}{Path(name).suffix}")
+                with z.open(name if len(parts) == 1 else f"{Path(name).stem}-{i:05d}{Path(name).suffix}", "w") as out, p.open("rb") as part:
+                    out.write(codecs.BOM_UTF8 if bom else b"")
+                    shutil.copyfileobj(part, out)
     return missing
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import merge_latest_wins
-from ..sources.tables import get_text, put_text
+from ..sources.tables import children, get_text, put_text, remove_tree
 
 
 class MergedState:
@@ -39,7 +39,12 @@ class MergedState:
         empty = self.spark.createDataFrame([], batch.schema)
         merged = merge_latest_wins(state if state is not None else empty, batch, self.key, self.order)
         merged.write.mode("overwrite").parquet(f"{self.root}/v{batch_id}")
+        before = self.version()
         put_text(self.spark, f"{self.root}/pointer.json", json.dumps({"batch": batch_id}))
+        # readers of the last version may still be at work; what lies before it has none
+        for name in children(self.spark, self.root):
+            if name[:1] == "v" and name[1:].isdigit() and int(name[1:]) < before:
+                remove_tree(self.spark, f"{self.root}/{name}")
 
     def run(self, source: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame | None:
         """Drain what lies in ``source`` now (``availableNow``) and give the merged state."""

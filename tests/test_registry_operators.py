@@ -458,7 +458,7 @@ def test_marts_come_as_one_version(spark, tmp_path):
     from tests.conftest import SMALL
 
     store = SnapshotStore(spark, f"file://{tmp_path}/marts")
-    assert marts.build_marts(spark, SMALL, store, "m1") == ["actors", "change_events", "devices", "risk_distribution"]
+    assert marts.build_marts(spark, SMALL, store, "m1") == ["actors", "change_events", "devices", "events", "profiles", "risk_distribution"]
     assert store.read("actors").count() == marts.actor_mart(spark, SMALL).count()
 
 
