@@ -7,8 +7,8 @@ begin.  Chunks are nested: the coarser conditions are multiples of the finer
 ones.  Chunks whose fingerprint occurs on the other side are done, level by level; only
 the rows of the finest chunks left over are joined and compared field by field.
 
-Plan: one shuffle per side sorts the rows and merges repeated keys; cutting is
-one pass over sorted Arrow batches, written out once.  Fingerprints of coarser
+Plan: repeated keys are merged with map-side combine, then the rows are brought
+into key order; cutting is one pass over sorted Arrow batches, written out once.  Fingerprints of coarser
 chunks are combined from the finest ones, so the rows are not looked at again.
 """
 
@@ -33,11 +33,11 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def distinct_by_key(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One row per key in key order; of rows that differ the highest values stand (NULL lowest), on both sides alike."""
     return (
-        df.filter(F.col("key").isNotNull()).select("key", *fields)
-        .repartitionByRange("key")  # the aggregate keeps the ranges, so the rows move once
-        .groupBy("key")
+        df.filter(F.col("key").isNotNull())
+        .groupBy("key")  # combined before it moves, so a key repeated without end is a row per task
         .agg(F.max(F.struct(*fields)).alias("v"))
         .select("key", *[F.col(f"v.{f}").alias(f) for f in fields])
+        .repartitionByRange("key")
         .sortWithinPartitions("key")
     )
 
@@ -124,8 +124,7 @@ def copy_differences(
 
     Both sides hold ``key`` and ``fields`` in canonical writing; other columns are ignored.  Rows
     without a key are left out, repeated keys count once (:func:`distinct_by_key`), NULLs are equal and
-    differ from the empty text.  An empty side makes every key of the other one-sided.  A key repeated
-    without end meets in one task as one running maximum.
+    differ from the empty text.  An empty side makes every key of the other one-sided.
     """
     sides = [chunked(df, fields, levels, window) for df in (left, right)]
     open_, _ = _settle(*sides, len(levels))
