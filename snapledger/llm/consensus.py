@@ -194,11 +194,12 @@ def survivors(
     )
     groups = materialise(
         values.groupBy(*keys).agg(
-            F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.sum("w").alias("total"), F.max(F.struct("w", "r", "v"))["v"].alias("centre")
-        ),
+            F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.sum("w").alias("total"), F.max(F.struct("w", "r", "v")).alias("best")
+        ).select(*keys, "n_rows", "n_values", "total", F.col("best.v").alias("centre"), F.col("best.w").alias("held")),
         "groups",
     )
-    several = groups.filter("n_values > 1").select(*keys, "n_values", "total", "centre")
+    # no column can be won against a centre that holds half of the weight, so only the other groups are aligned
+    several = groups.filter("n_values > 1 AND 2 * held < total").select(*keys, "n_values", "total", "centre")
     all_values = several.agg(F.sum("n_values").alias("n")).first()["n"] or 0
     is_hot = F.col("n_values") >= F.lit(max(1.0, hot_share * all_values))
 
