@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
-from ..sources.tables import materialise
+from ..sources.tables import materialise, together
 
 #: Average rows per chunk, from the coarsest to the finest; each a multiple of the next.
 LEVELS = (64, 8, 2)
@@ -104,14 +104,15 @@ def _prints(of: DataFrame, by: Sequence[str], n="n", h1="f1", h2="f2", lo="lo",
 def _settle(left: DataFrame, right: DataFrame, n_levels: int) -> tuple[list[DataFrame], list[list[DataFrame]]]:
     """The finest chunks left over on each side, and those left after each level (all tables of chunks, not of rows)."""
     names = [f"c{i}" for i in range(n_levels)]
-    open_ = [
-        materialise(_prints(side.withColumn("__n", F.lit(1)), names, "__n", "h1", "h2", "key", "key"), "fingerprints") for side in (left, right)
-    ]
+    spark = left.sparkSession
+    open_ = together(
+        spark, *[lambda side=side: materialise(_prints(side.withColumn("__n", F.lit(1)), names, "__n", "h1", "h2", "key", "key"), "fingerprints") for side in (left, right)]
+    )
     history = [open_]
     for i in range(n_levels):
         coarse = [_prints(o, [names[i]]) for o in open_]
         left_over = [coarse[s].join(coarse[1 - s].select(*_SAME), _SAME, "left_anti").select(names[i]) for s in (0, 1)]
-        open_ = [materialise(open_[s].join(left_over[s], names[i], "left_semi"), "open-chunks") for s in (0, 1)]
+        open_ = together(spark, *[lambda o=open_[s], rest=left_over[s], c=names[i]: materialise(o.join(rest, c, "left_semi"), "open-chunks") for s in (0, 1)])
         history.append(open_)
     return open_, history
 
@@ -126,7 +127,7 @@ def copy_differences(
     without a key are left out, repeated keys count once (:func:`distinct_by_key`), NULLs are equal and
     differ from the empty text.  An empty side makes every key of the other one-sided.
     """
-    sides = [chunked(df, fields, levels, window) for df in (left, right)]
+    sides = together(left.sparkSession, *[lambda df=df: chunked(df, fields, levels, window) for df in (left, right)])
     open_, _ = _settle(*sides, len(levels))
     finest = f"c{len(levels) - 1}"
     a, b = (
@@ -139,7 +140,7 @@ def copy_differences(
 
 def chunk_report(left: DataFrame, right: DataFrame, fields: Sequence[str], *, levels: Sequence[int] = LEVELS, window: int = 2) -> DataFrame:
     """``side, level_rows, chunks, open_chunks, n_rows, settled_rows``: how far the fingerprints of each level settled the rows."""
-    sides = [chunked(df, fields, levels, window) for df in (left, right)]
+    sides = together(left.sparkSession, *[lambda df=df: chunked(df, fields, levels, window) for df in (left, right)])
     _, history = _settle(*sides, len(levels))
     out = None
     for s, name in enumerate(("left", "right")):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, code_key, day_of, number_text, ulid_day, ulid_millis, uuid_key
 from ..operators import copy_diff, drift, orphans, profile, satellites, snapshot_diff
-from ..sources.tables import scratch_path, table
+from ..sources.tables import scratch_path, table, together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,13 +232,17 @@ def _version_observations(spark: SparkSession, d: str) -> DataFrame:
 
 def _histories(spark: SparkSession, d: str) -> dict[str, satellites.Satellite]:
     """A satellite of the page attributes that change as the page hash does, and one of the device versions."""
-    groups = satellites.split_by_rate(_page_rates(spark, d))
-    with_hash = next(g for g in groups.values() if "PAGE_HASH" in g)
-    pages = satellites.Satellite(spark, scratch_path(spark, "pages"), attributes=[c for c in with_hash if c != "PAGE_HASH"])
-    pages.append(_page_observations(spark, d))
     versions = satellites.Satellite(spark, scratch_path(spark, "versions"), order=("at_ms", "ulid", "version_key"))
-    versions.append(_version_observations(spark, d))
-    return {"nextlinks": pages, "udi_details_queue": versions}
+
+    def pages() -> satellites.Satellite:
+        groups = satellites.split_by_rate(_page_rates(spark, d))
+        with_hash = next(g for g in groups.values() if "PAGE_HASH" in g)
+        made = satellites.Satellite(spark, scratch_path(spark, "pages"), attributes=[c for c in with_hash if c != "PAGE_HASH"])
+        made.append(_page_observations(spark, d))
+        return made
+
+    made, _ = together(spark, pages, lambda: versions.append(_version_observations(spark, d)))
+    return {"nextlinks": made, "udi_details_queue": versions}
 
 
 _ULID_MS = "(" + " + ".join(f"(strpos('0123456789ABCDEFGHJKMNPQRSTVWXYZ', substr(ulid,{i + 1},1))-1)::BIGINT * {32 ** (9 - i)}" for i in range(10)) + ")"
@@ -263,7 +267,7 @@ SELECT 'udi_details_queue', k, h, strftime(make_timestamp(ms*1000), '%Y-%m-%d'),
 @query("p3_found", _P3)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Versions of pages and devices with the period in which each was valid."""
-    views = [s.history().withColumn("table_name", F.lit(t)) for t, s in _histories(spark, d).items()]
+    views = together(spark, *[lambda t=t, s=s: s.history().withColumn("table_name", F.lit(t)) for t, s in _histories(spark, d).items()])
     return views[0].unionByName(views[1]).select("table_name", "entity_key", "version_key", "valid_from", "valid_to")
 
 

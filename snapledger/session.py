@@ -6,11 +6,14 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPING = threading.Lock()
+
 
 def get_session(app: str = "snapledger", cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """Local session with the settings every plan here assumes: UTC, AQE on.
@@ -41,7 +44,11 @@ def ship(spark: SparkSession) -> None:
 
     Operators with Python code call it, so that a cluster needs no copy installed.
     """
-    context = spark.sparkContext
+    with _SHIPPING:
+        _ship_once(spark.sparkContext)
+
+
+def _ship_once(context) -> None:
     if getattr(context, "_snapledger_shipped", False):
         return
     home = Path(__file__).parent
