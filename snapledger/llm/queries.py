@@ -107,14 +107,15 @@ def p5_consensus(spark: SparkSession, d: str) -> DataFrame:
     """Field by field the value closest to the consensus of all rows of a device; every column but the key.
 
     A row's vote is the number of its filled fields, twice if it is marked latest, and up to 8 more that
-    grow with its version number, so a claim of a huge number cannot outvote the rest.
+    grow with its version number, so a claim of a huge number cannot outvote the rest.  Equal weights go
+    to the value of the row marked latest, then of the highest version number, then to the higher value.
     """
     fields = _consensus_fields()
     filled = sum((c.isNotNull().cast("int") for c in fields.values()), F.lit(0))
     latest = F.coalesce((fields["latest_version"] == "true").cast("int"), F.lit(0))
     version = F.greatest(F.coalesce(clean("version_number").try_cast("double"), F.lit(0.0)), F.lit(0.0))
     weight = F.greatest(filled, F.lit(1)) * (1 + latest) + F.floor(8 * version / (1 + version))
-    return consensus.survivors(table(spark, d, "candidate_inventory"), device_code("primary_di_code"), fields, weight=weight, rank=_preference())
+    return consensus.survivors(table(spark, d, "candidate_inventory"), device_code("primary_di_code"), fields, weight=weight, rank=F.struct(latest.alias("latest"), version.alias("version")))
 
 
 # --------------------------------------------------------------------------- p8
