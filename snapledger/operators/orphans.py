@@ -23,11 +23,11 @@ def heavy_keys(per_key: DataFrame, key: str, weight: str, share: float) -> list[
     """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
-    total = per_key.agg(F.sum(weight).alias("t")).first()["t"]
-    if not total:
+    sums = per_key.groupBy(key).agg(F.sum(weight).alias("w"))
+    seen = sums.agg(F.sum("w").alias("total"), F.max("w").alias("top")).first()
+    if not seen["total"] or seen["top"] < share * seen["total"]:
         return []
-    rows = per_key.groupBy(key).agg(F.sum(weight).alias("w")).filter(F.col("w") >= F.lit(share * total)).collect()
-    return [r[key] for r in rows]
+    return [r[key] for r in sums.filter(F.col("w") >= F.lit(share * seen["total"])).collect()]
 
 
 def reference_problems(

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import path_exists
 from .orphans import heavy_keys
@@ -145,9 +146,15 @@ class Satellite:
         self.attributes = list(attributes)
         self.order = [*order, "hash_diff"]
         self.key = list(dict.fromkeys(["entity_key", "day", "version_key", *self.order]))
+        self._schemas: dict[str, T.StructType] = {}
+        self._hot: list[str] | None = None  #: of the observations last derived from
+        self._one_batch = False
 
     def _table(self, what: str) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.path}/{what}") if path_exists(self.spark, f"{self.path}/{what}") else None
+        if not path_exists(self.spark, f"{self.path}/{what}"):
+            return None
+        reader = self.spark.read.schema(self._schemas[what]) if what in self._schemas else self.spark.read
+        return reader.parquet(f"{self.path}/{what}")
 
     def append(self, observations: DataFrame) -> None:
         seen, stored = self._table("seen"), self._table("rows")
@@ -169,10 +176,12 @@ class Satellite:
             both = now.join(latest, self.key, "full")
             # what begins no row any more is void: a row without valid_from
             rows = both.filter(F.col("__stored").isNull() | ~F.col("valid_from").eqNullSafe(F.col("__was"))).select(*self.key, "valid_from")
-        rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(f"{self.path}/rows")
+        rows = rows.withColumn("batch", F.lit(batch).cast("bigint"))
+        rows.write.mode("append").parquet(f"{self.path}/rows")
+        self._schemas, self._one_batch = {"seen": found.schema, "rows": rows.schema}, stored is None
 
     def _derive(self, seen: DataFrame) -> DataFrame:
-        hot = hot_entities(seen, "entity_key")
+        hot = self._hot = hot_entities(seen, "entity_key")
         # one shuffle for all that follows; hot entities go by (entity, day)
         states = (seen if hot else seen.repartition("entity_key")).groupBy(*self.key).agg(F.collect_set(F.nullif(F.col("first_seen"), F.lit(""))).alias("first_seen"))
         order = self.order if self.order[0] == "day" else ["day", *self.order]
@@ -193,7 +202,7 @@ class Satellite:
     def rows(self) -> DataFrame:
         """What stands of the stored rows: the newest of each beginning that is not void."""
         stored = self._table("rows")
-        if not stored.agg(F.max("batch").alias("b")).first()["b"]:  # one batch has no beginning twice
+        if self._one_batch:  # it has no beginning twice
             return stored.drop("batch")
         return self._latest(stored)
 
@@ -201,7 +210,8 @@ class Satellite:
         """``entity_key, version_key, valid_from, valid_to``: the end is the next version's start, '' if none."""
         order = self.order if self.order[0] == "day" else ["day", *self.order]
         rows = self.rows()
-        hot = hot_entities(rows, "entity_key")
+        # an entity has no more rows than observations, so one that is not hot there is no large task here
+        hot = hot_entities(rows, "entity_key") if self._hot is None or not self._one_batch else self._hot
         if not hot:
             rows = rows.repartition("entity_key")
         if self.attributes:  # several rows may belong to one version
