@@ -280,14 +280,15 @@ def quality_breaks(inventory: DataFrame, **settings: float) -> DataFrame:
 
 
 def load_shifts(
-    df: DataFrame, load: str, columns: Sequence[str], *, buckets: int = 64, iterations: int = 25, bins: int = 1000, parallel: int = 3
+    df: DataFrame, load: str, columns: Sequence[str], *, unit: str | None = None, buckets: int = 64, iterations: int = 25, bins: int = 1000, parallel: int = 3
 ) -> DataFrame:
     """Which columns tell each load from the one before: ``load, prev_load, column_name, auc, auc_without, ablation``.
 
     Every pair of consecutive values of ``load`` is tested, so a break shows at its load and its end at
     the load of the return.  Each column gives a missing flag, its (scaled) number if it reads as one,
     and hashed indicators of its value in ``buckets`` classes.  Rows are split in two folds by a hash of
-    their content; a logistic regression per pair is trained on each fold (distributed, both loads
+    their ``unit``, if they have one, else of their content (with keys or times among the columns a unit is
+    needed: split over both folds, its old row would speak against its new one); a logistic regression per pair is trained on each fold (distributed, both loads
     weighted alike) and scores the other.  ``ablation`` is the held-out AUC lost when a column's terms are
     left out of the score.
 
@@ -307,28 +308,31 @@ def load_shifts(
     n_cols = range(len(columns))
     flags, numbers, slots, hots = ([f"{p}{i}" for i in n_cols] for p in ("flag", "number", "slot", "hot"))
     text = df.filter(F.col(load).isNotNull()).select(
-        F.col(load).alias("load"), *[clean(F.col(f"`{c}`").cast("string")).alias(f"t{i}") for i, c in enumerate(columns)]
+        F.col(load).alias("load"), (F.col(unit) if unit else F.lit(None)).cast("string").alias("unit"), *[clean(F.col(f"`{c}`").cast("string")).alias(f"t{i}") for i, c in enumerate(columns)]
     )
-    # only what may read as a number is cast: a failed cast costs far more than the look at its start
-    number = [F.when(F.col(f"t{i}").rlike(r"^[+-]?([0-9.]|(?i:inf|nan))"), F.coalesce(F.col(f"t{i}").try_cast("double"), F.lit(0.0))).otherwise(0.0) for i in n_cols]
+    # only what may read as a number is cast: a failed cast costs far more than the look at it, and most hashes and uuids begin with a digit
+    like = r"^[+-]?([0-9.][0-9.eE+-]*[dDfF]?[\x00-\x20]*$|0[xX]|(?i:inf|nan))"
+    number = [F.when(F.col(f"t{i}").rlike(like), F.coalesce(F.col(f"t{i}").try_cast("double"), F.lit(0.0))).otherwise(0.0) for i in n_cols]
     known = [F.coalesce(F.col(f"t{i}"), F.lit("\x00")) for i in n_cols]
     featured = text.select(
-        "load", F.pmod(F.xxhash64(*known), F.lit(2)).cast("int").alias("fold"),
+        "load", F.pmod(F.when(F.col("unit").isNotNull(), F.xxhash64("unit")).otherwise(F.xxhash64(*known)), F.lit(2)).cast("int").alias("fold"),
         *[F.col(f"t{i}").isNull().cast("double").alias(flags[i]) for i in n_cols],
         *[(F.signum(number[i]) * F.log1p(F.abs(number[i])) / 10).alias(numbers[i]) for i in n_cols],
         *[F.pmod(F.xxhash64(known[i]), F.lit(buckets)).cast("int").alias(slots[i]) for i in n_cols],
     )
-    # equal rows of a load are one row with a weight; sorted, so that a pair reads the row groups of its loads only
+    # equal rows of a load are one row with a weight; kept in parts by load and fold, so that a model reads those of its loads only
     combos = featured.groupBy("load", "fold", *flags, *numbers, *slots).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    combos = combos.withColumn("part", F.pmod(F.xxhash64("load", "fold"), F.lit(64)).cast("int"))
     # every class has its place whether it occurs or not, so the encoder needs no look at the rows
     encoder = OneHotEncoder(inputCols=slots, outputCols=hots, dropLast=False, handleInvalid="error").fit(
         spark.range(buckets).select(*[F.col("id").cast("int").alias(c) for c in slots])
     )
     width = 2 + buckets
     inputs = [x for i in n_cols for x in (flags[i], numbers[i], hots[i])]
-    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(encoder.transform(combos.sortWithinPartitions("load", "fold")))
-    data = materialise(vectors.drop(*hots), "load-vectors")
-    sizes = {(r["load"], r["fold"]): r["n"] for r in data.groupBy("load", "fold").agg(F.sum("n").alias("n")).collect()}
+    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(encoder.transform(combos.sortWithinPartitions("part", "load", "fold")))
+    data = materialise(vectors.drop(*hots), "load-vectors", by=["part"])
+    counts = data.groupBy("load", "fold", "part").agg(F.sum("n").alias("n")).collect()
+    sizes, parts = ({(r["load"], r["fold"]): r[c] for r in counts} for c in ("n", "part"))
     loads = sorted({at for at, _ in sizes})
     wanted = [
         (old, new, fold) for old, new in zip(loads, loads[1:], strict=False) if all((x, f) in sizes for x in (old, new) for f in (0, 1)) for fold in (0, 1)
@@ -340,7 +344,8 @@ def load_shifts(
         old, new, fold = pair
         a, b = sizes[old, fold], sizes[new, fold]
         is_new = F.col("load") == F.lit(new)
-        part = data.filter(F.col("load").isin(old, new) & (F.col("fold") == fold)).select(
+        own_parts = F.col("part").isin(parts[old, fold], parts[new, fold])
+        part = data.filter(own_parts & F.col("load").isin(old, new) & (F.col("fold") == fold)).select(
             is_new.cast("double").alias("label"), (F.col("n") * F.when(is_new, (a + b) / (2 * b)).otherwise((a + b) / (2 * a))).alias("w"), "features"
         )
         model = LogisticRegression(weightCol="w", regParam=0.01, maxIter=iterations, standardization=False).fit(part)

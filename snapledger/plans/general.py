@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean, code_key, day_of, number_text, ulid_day, ulid_millis, uuid_key
@@ -178,13 +179,55 @@ def p2_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.base_profile(table(spark, d, "udi_change_events"), None, _PROFILED)
 
 
+#: They name the snapshot, so they tell any two apart and are not tested.
+_LOAD_COLUMNS = ("CURRENT_EXTRACT_DATE", "CURRENT_EXTRACT_DATETIME_UTC")
+_TIME_COLUMNS = ("EVENT_DATE", "EVENT_DATETIME_UTC", "PREVIOUS_EXTRACT_DATE", "PREVIOUS_EXTRACT_DATETIME_UTC")
+_ID_COLUMNS = (
+    "CHANGED_COLUMNS_COUNT", "OLD_RISK_CLASS_ID", "NEW_RISK_CLASS_ID", "OLD_LEGISLATION_ID", "NEW_LEGISLATION_ID", "OLD_STATUS_ID", "NEW_STATUS_ID",
+    "OLD_DEVICE_STATUS_TYPE_ID", "NEW_DEVICE_STATUS_TYPE_ID",
+)
+
+
+def _seconds_since(c: str, start: str) -> Column:
+    """Seconds from the start of a day to a date or time text; a text that names no day stays as it is."""
+    clock = F.regexp_extract(c, r"[T ](\d{2}:\d{2}:\d{2})", 1)
+    hours, minutes, seconds = (F.substring(clock, at, 2).cast("bigint") for at in (1, 4, 7))
+    days = F.datediff(day_of(c).cast("date"), F.col(start).cast("date")).cast("bigint")
+    return F.coalesce((days * 86_400 + F.when(clock == "", 0).otherwise(hours * 3_600 + minutes * 60 + seconds)).cast("string"), clean(c))
+
+
 @query("p2_load_shift")
 def p2_load_shift(spark: SparkSession, d: str) -> DataFrame:
-    """Classifier two-sample test between each snapshot of the change log and the one before, row by row."""
+    """Classifier two-sample test between each snapshot of the change log and the one before, row by row, over all columns.
+
+    Only the two columns that name the snapshot are not tested.  Three models share the others: the source
+    columns, what the log says of the row, and what it says of the change since the snapshot before (empty in
+    the first one), so that neither a copy nor a gap of one kind hides a break of another.  Times count from
+    the snapshot's day, those of the snapshot before from its day: that they move on is no break.  Models
+    with keys and times are trained on other devices than they are judged on.
+    """
     day = F.coalesce(day_of("CURRENT_EXTRACT_DATE"), day_of("CURRENT_EXTRACT_DATETIME_UTC"))
-    values = [(number_text(c) if f is number_text else clean(c)).alias(c) for c, f in _EVENT_VALUES.items()]
-    rows = table(spark, d, "udi_change_events").select(day.alias("__day"), *values)
-    return profile.load_shifts(rows, "__day", list(_EVENT_VALUES), buckets=32)
+    events = table(spark, d, "udi_change_events")
+    tested = [c for c in events.columns if c not in _LOAD_COLUMNS]
+    source = [c for c in tested if c in _EVENT_VALUES]
+    change = [c for c in tested if c not in source and c.startswith(("PREVIOUS_", "CHANGE", "OLD_"))]
+    row = [c for c in tested if c not in source and c not in change]
+    device = _device_key() if {"UUID", "BUSINESS_KEY"} <= set(tested) else F.lit(None)
+    dated = events.withColumns({"__day": day, "__unit": device})
+    # one row per snapshot
+    days = dated.select("__day").distinct().na.drop().withColumn("__prev", F.lag("__day").over(Window.orderBy("__day")))
+
+    def value(c: str) -> Column:
+        if c in _TIME_COLUMNS:
+            return _seconds_since(c, "__prev" if c.startswith("PREVIOUS_") else "__day").alias(c)
+        return number_text(c).alias(c) if c in _ID_COLUMNS or _EVENT_VALUES.get(c) is number_text else F.col(c)
+
+    def shifts(columns: list[str]) -> DataFrame:
+        rows = dated.join(F.broadcast(days), "__day") if any(c.startswith("PREVIOUS_") for c in columns) else dated
+        unit = None if columns is source else "__unit"
+        return profile.load_shifts(rows.select("__day", "__unit", *map(value, columns)), "__day", columns, unit=unit, buckets=32)
+
+    return reduce(DataFrame.unionByName, [shifts(g) for g in (source, row, change) if g])
 
 
 # --------------------------------------------------------------------------- p3
@@ -317,12 +360,15 @@ _EVENT_VALUES = {
 }
 
 
+def _device_key() -> Column:
+    return F.coalesce(uuid_key("UUID"), uuid_key(F.regexp_extract(clean("BUSINESS_KEY"), r"\|(.*)$", 1)))
+
+
 def _snapshots(spark: SparkSession, d: str, values: bool = False) -> snapshot_diff.History:
     events = table(spark, d, "udi_change_events")
-    from_key = uuid_key(F.regexp_extract(clean("BUSINESS_KEY"), r"\|(.*)$", 1))
     rows = snapshot_diff.snapshot_rows(
         events,
-        key=F.coalesce(uuid_key("UUID"), from_key),
+        key=_device_key(),
         snapshot=F.coalesce(day_of("CURRENT_EXTRACT_DATE"), day_of("CURRENT_EXTRACT_DATETIME_UTC")),
         seen_at=clean("CURRENT_EXTRACT_DATETIME_UTC"),
         values={n: f(n) for n, f in _EVENT_VALUES.items()},

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -53,11 +53,14 @@ def clean_scratch(spark: SparkSession) -> None:
     remove_tree(spark, scratch_root(spark))
 
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Write once to the shared folder and read back: lineage ends in files that outlive executors."""
+def materialise(df: DataFrame, what: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write once to the shared folder and read back: lineage ends in files that outlive executors.
+
+    Filters on the columns ``by`` read only the folders they name.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, what)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

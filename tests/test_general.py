@@ -206,6 +206,51 @@ def test_load_shift_query_sees_breaks_of_middle_snapshots(spark, tmp_path):
         assert r["ablation"] > 0.2 if r["column_name"] == "DEVICE_NAME" else abs(r["ablation"]) < 0.1
 
 
+def test_load_shift_query_tests_every_column(spark, tmp_path):
+    from snapledger.plans import general
+
+    rnd = random.Random(3)
+    days = ["2025-01-01", "2025-02-01", "2025-03-01"]  # 31 and 28 days apart
+    data = []
+    for at, day in enumerate(days):
+        for i in range(400):
+            uuid, ids = f"{i:08x}-0000-0000-0000-000000000000", [str(-rnd.randint(1, 4)) for _ in range(4)]
+            was = [str(-rnd.randint(1, 4)) for _ in ids] if at else [None] * 4
+            late, gone = at == 2 and i % 10 > 1, at == 2 and i % 10 > 2
+            row = {c: rnd.choice("abcd") for c in general._EVENT_COLUMNS}
+            row |= dict.fromkeys(("BUSINESS_KEY", "ENTITY_VARIANT_KEY"), f"UUID=|{uuid}") | {"UUID": uuid, "ROW_HASH": f"h{i}"}
+            row |= dict.fromkeys(("CURRENT_EXTRACT_DATE", "EVENT_DATE"), day)
+            row |= dict.fromkeys(("CURRENT_EXTRACT_DATETIME_UTC", "EVENT_DATETIME_UTC"), f"{day} 04:{rnd.randint(10, 59)}:00 UTC")
+            row |= {c: days[at - 1] if at else None for c in ("PREVIOUS_EXTRACT_DATE", "PREVIOUS_EXTRACT_DATETIME_UTC")}
+            row |= {"OLD_ROW_HASH": f"h{i}" if at else None, "OLD_ENTITY_VARIANT_KEY": f"UUID=|{uuid}" if at else None}
+            for k, kind in enumerate(("RISK_CLASS_ID", "LEGISLATION_ID", "STATUS_ID", "DEVICE_STATUS_TYPE_ID")):
+                row |= {f"OLD_{kind}": was[k], f"NEW_{kind}": ids[k]}
+            # only in the last snapshot: event days that are late, former states that are lost
+            row |= ({"EVENT_DATE": "2025-03-11"} if late else {}) | ({"OLD_STATUS_ID": None} if gone else {})
+            data.append(tuple(row[c] for c in general._EVENT_COLUMNS))
+    schema = ", ".join(f"{c} string" for c in general._EVENT_COLUMNS)
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "udi_change_events.parquet"))
+    got = {(r["load"], r["column_name"]): r for r in general.p2_load_shift(spark, str(tmp_path)).collect()}
+    tested = set(general._EVENT_COLUMNS) - {"CURRENT_EXTRACT_DATE", "CURRENT_EXTRACT_DATETIME_UTC"}
+    assert set(got) == {(day, c) for day in days[1:] for c in tested} and len(tested) == 31
+    for c in tested:
+        r = got[days[2], c]
+        assert r["ablation"] > 0.2 if c in ("EVENT_DATE", "OLD_STATUS_ID") else abs(r["ablation"]) < 0.1, r
+    # that dates move on with the snapshots, by steps of any length, tells nothing
+    assert abs(got[days[1], "EVENT_DATE"]["auc"] - 0.5) < 0.1 and got[days[2], "PREVIOUS_EXTRACT_DATE"]["ablation"] == 0
+    # the first snapshot has no former states; only the model of those columns sees it
+    assert got[days[1], "OLD_STATUS_ID"]["auc"] > 0.95 and abs(got[days[1], "STATUS_ID"]["auc"] - 0.5) < 0.1
+
+
+def test_a_unit_stays_in_one_fold(spark):
+    # the same keys at other times: nothing moved, and no old row may speak against its new one
+    rnd = random.Random(4)
+    data = [(at, f"k{i}", str(rnd.random())) for at in (1, 2) for i in range(1500)]
+    df = spark.createDataFrame(data, "load int, k string, noise string")
+    free, held = (profile.load_shifts(df, "load", ["k", "noise"], unit=u).first()["auc"] for u in (None, "k"))
+    assert abs(held - 0.5) < 0.05 and free < 0.47, (free, held)
+
+
 # --------------------------------------------------------------------------- histories
 
 
